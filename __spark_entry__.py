@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Sequence
+from functools import cached_property
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -39,30 +40,27 @@ class Inputs:
     """The emulated raw inputs of one data folder, and marts that several queries start from."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark = spark
+        self.source = fixtures.Source(spark, sf_dir)
+        self.stream = self.source.stream
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in fixtures.INPUTS:
             raise AttributeError(name)
-        return fixtures.load(self.spark, self.sf_dir, name)
-
-    def stream(self, name: str) -> DataFrame:
-        """The input with its first table read as a stream of files."""
-        table = fixtures.INPUTS[name].tables[0]
-        schema = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").schema
-        files = self.spark.readStream.schema(schema).parquet(
-            f"{self.sf_dir}/{table[:-1]}[{table[-1]}].parquet"
-        )
-        return fixtures.emulate(self.spark, self.sf_dir, name, files)
+        setattr(self, name, self.source[name])
+        return getattr(self, name)
 
+    @cached_property
     def shaped(self) -> DataFrame:
         return lookups.lgas_with_shape(self.lgas, self.lga_shapes)
 
+    @cached_property
     def admin(self) -> DataFrame:
         return lookups.admin_lookup(self.lgas, self.districts, self.regions, False)
 
+    @cached_property
     def admin_with_shape(self) -> DataFrame:
-        return lookups.admin_lookup(self.shaped(), self.districts, self.regions)
+        return lookups.admin_lookup(self.shaped, self.districts, self.regions)
 
     def status(self) -> DataFrame:
         return water_points.status_detail(self.water_point_reports)
@@ -76,14 +74,19 @@ class Inputs:
         )
 
     def schools(self) -> DataFrame:
-        return schools.school_combined(*self.school_tables().values(), self.admin(), YEAR)
+        return schools.school_combined(*self.school_tables().values(), self.admin, YEAR)
 
     def school_tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in refresh.SCHOOL_SOURCES}
 
-    def presence(self, combined: DataFrame) -> DataFrame:
+    def presence(self) -> DataFrame:
+        """The mart has the school numbers of the year's service rows, so no join is needed here."""
         return school_quality.key_presence(
-            self.school_services, self.school_reports, self.school_infrastructure, combined, YEAR
+            self.school_services,
+            self.school_reports,
+            self.school_infrastructure,
+            schools.services_of_year(self.school_services, YEAR),
+            YEAR,
         )
 
 
@@ -105,7 +108,7 @@ SCORECARD_MEANS = ["func_rate_new", "lga_water_access_level_perc"]
 
 
 def _lga_shapes(data: Inputs) -> DataFrame:
-    return data.shaped()
+    return data.shaped
 
 
 def _unmatched_lga_names(data: Inputs) -> DataFrame:
@@ -113,11 +116,11 @@ def _unmatched_lga_names(data: Inputs) -> DataFrame:
 
 
 def _admin_lookup_light(data: Inputs) -> DataFrame:
-    return lookups.admin_lookup_light(data.admin_with_shape())
+    return lookups.admin_lookup_light(data.admin_with_shape)
 
 
 def _wp_detail(data: Inputs) -> DataFrame:
-    return water_points.water_point_detail(data.water_point_reports, data.admin())
+    return water_points.water_point_detail(data.water_point_reports, data.admin)
 
 
 def _wp_status_share(data: Inputs) -> DataFrame:
@@ -125,16 +128,16 @@ def _wp_status_share(data: Inputs) -> DataFrame:
 
 
 def _wp_district_year(data: Inputs) -> DataFrame:
-    return rounded(water_points.district_rates(data.status(), data.admin()), DISTRICT_MEANS)
+    return rounded(water_points.district_rates(data.status(), data.admin), DISTRICT_MEANS)
 
 
 def _wp_district_quarter(data: Inputs) -> DataFrame:
-    rates = water_points.district_rates(data.status(), data.admin(), water_points.QUARTER)
+    rates = water_points.district_rates(data.status(), data.admin, water_points.QUARTER)
     return rounded(rates, DISTRICT_MEANS)
 
 
 def _districts_without_functional(data: Inputs) -> DataFrame:
-    rates = water_points.district_rates(data.status(), data.admin(), water_points.QUARTER)
+    rates = water_points.district_rates(data.status(), data.admin, water_points.QUARTER)
     return water_points.without_functional(rates).select(
         "district_code", "district_name", "year_timestamp", "quarter_timestamp"
     )
@@ -142,7 +145,7 @@ def _districts_without_functional(data: Inputs) -> DataFrame:
 
 def _wp_latest_located(data: Inputs) -> DataFrame:
     return water_points.latest_located(
-        data.status(), data.admin_with_shape(), data.villages, AS_OF
+        data.status(), data.admin_with_shape, data.villages, AS_OF
     )
 
 
@@ -151,30 +154,30 @@ def _wp_key_violations(data: Inputs) -> DataFrame:
 
 
 def _coverage_yearly(data: Inputs) -> DataFrame:
-    return rounded(coverage.coverage_yearly(data.coverage_reports, data.admin()))
+    return rounded(coverage.coverage_yearly(data.coverage_reports, data.admin))
 
 
 def _coverage_latest(data: Inputs) -> DataFrame:
-    return rounded(coverage.coverage_latest(data.coverage_reports, data.admin()))
+    return rounded(coverage.coverage_latest(data.coverage_reports, data.admin))
 
 
 def _coverage_latest_month(data: Inputs) -> DataFrame:
     monthly = data.coverage_reports.withColumn(
         "report_datetime", period_start(F.col("report_datetime"), "month")
     )
-    return rounded(coverage.coverage_latest(monthly, data.admin()))
+    return rounded(coverage.coverage_latest(monthly, data.admin))
 
 
 def _hh_detail(data: Inputs) -> DataFrame:
-    return households.household_detail(data.household_reports, data.regions, data.shaped())
+    return households.household_detail(data.household_reports, data.regions, data.shaped)
 
 
 def _hh_lga_mean(data: Inputs) -> DataFrame:
-    return rounded(households.lga_means(data.rates(), data.regions, data.shaped()))
+    return rounded(households.lga_means(data.rates(), data.regions, data.shaped))
 
 
 def _hh_lga_by_date(data: Inputs) -> DataFrame:
-    return rounded(households.lga_means_by_date(data.rates(), data.regions, data.shaped()))
+    return rounded(households.lga_means_by_date(data.rates(), data.regions, data.shaped))
 
 
 def _hh_flags(data: Inputs) -> DataFrame:
@@ -202,15 +205,13 @@ def _school_combined(data: Inputs) -> DataFrame:
 
 
 def _school_qc_log(data: Inputs) -> DataFrame:
-    combined = data.schools()
-    presence = data.presence(combined)
+    combined, presence = data.schools(), data.presence()
     keys = school_quality.failing_keys(presence, combined)
     return school_quality.qc_log(presence, combined, keys, RUN_TS)
 
 
 def _school_qc_keys(data: Inputs) -> DataFrame:
-    combined = data.schools()
-    return school_quality.failing_keys(data.presence(combined), combined)
+    return school_quality.failing_keys(data.presence(), data.schools())
 
 
 def _school_toilet_share(data: Inputs) -> DataFrame:
@@ -243,13 +244,13 @@ def _service_level_lga(data: Inputs) -> DataFrame:
 
 def _lga_scorecard(data: Inputs) -> DataFrame:
     card = scorecard.lga_scorecard(
-        data.shaped(),
+        data.shaped,
         data.districts,
         scorecard.household_scores(
             households.with_region_name(data.rates(), data.regions)
         ),
         scorecard.school_scores(data.schools()),
-        water_points.district_rates(data.status(), data.admin()),
+        water_points.district_rates(data.status(), data.admin),
         scorecard.service_levels(data.villages),
     )
     return rounded(card, SCORECARD_MEANS)
@@ -306,8 +307,8 @@ def _streamed(data: Inputs, grouped: DataFrame, mean: str) -> DataFrame:
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "lga_shapes": _lga_shapes,
     "unmatched_lga_names": _unmatched_lga_names,
-    "admin_lookup": Inputs.admin_with_shape,
-    "admin_lookup_plain": Inputs.admin,
+    "admin_lookup": lambda data: data.admin_with_shape,
+    "admin_lookup_plain": lambda data: data.admin,
     "admin_lookup_light": _admin_lookup_light,
     "wp_detail": _wp_detail,
     "wp_status_share": _wp_status_share,

@@ -306,18 +306,32 @@ INPUTS: dict[str, Emulated] = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One emulated input over the Parquet tables in ``sf_dir``."""
-    made = INPUTS[name]
-    df = spark.read.parquet(f"{sf_dir}/{made.tables[0]}.parquet")
-    return emulate(spark, sf_dir, name, df)
+class Source:
+    """The emulated inputs over the Parquet tables of one folder; each file is opened once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
-def emulate(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """As :func:`load`, with ``df`` (for example a stream) in place of the first table."""
-    made = INPUTS[name]
-    for table, condition in zip(made.tables[1:], made.joins):
-        df = df.join(spark.read.parquet(f"{sf_dir}/{table}.parquet"), F.expr(condition))
-    if made.where:
-        df = df.where(made.where)
-    return df.selectExpr(*[f"{text} AS {column}" for column, text in made.columns.items()])
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._emulate(INPUTS[name], self.table(INPUTS[name].tables[0]))
+
+    def stream(self, name: str) -> DataFrame:
+        """The input with its first table read as a stream of files."""
+        first = INPUTS[name].tables[0]
+        # A glob, because a stream takes a plain path for a folder.
+        path = f"{self.sf_dir}/{first[:-1]}[{first[-1]}].parquet"
+        files = self.spark.readStream.schema(self.table(first).schema).parquet(path)
+        return self._emulate(INPUTS[name], files)
+
+    def _emulate(self, made: Emulated, df: DataFrame) -> DataFrame:
+        for table, condition in zip(made.tables[1:], made.joins):
+            df = df.join(self.table(table), F.expr(condition))
+        if made.where:
+            df = df.where(made.where)
+        return df.selectExpr(*[f"{text} AS {column}" for column, text in made.columns.items()])

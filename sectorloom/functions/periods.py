@@ -18,7 +18,11 @@ def period_start(ts: Column, unit: str) -> Column:
 
 def year_stamp(year: Column) -> Column:
     """January 1st of a year given as text or number; NULL if it is not a year."""
-    return F.try_to_timestamp(year.cast("string"), F.lit("yyyy")).cast("timestamp_ntz")
+    first = F.lit(1)
+    midnight = F.lit(0)
+    return F.try_make_timestamp_ntz(
+        year.try_cast("int"), first, first, midnight, midnight, midnight
+    )
 
 
 def within_year(day: Column, year: int) -> Column:

@@ -32,31 +32,30 @@ def lookup_join(
     lookup: DataFrame,
     on: tuple[str, str],
     take: Mapping[str, str],
-    newest: str | None = None,
     spread_by: Sequence[str] = (),
-    measure: bool = True,
 ) -> DataFrame:
     """Attach columns of ``lookup`` without ever changing the row count of ``df``.
 
     ``on`` is (column of df, column of lookup); ``take`` maps new names to lookup columns and replaces
-    columns of the same name. Unmatched rows get NULL. Several matches give one: the latest by ``newest`` if
-    named, then the smallest row. A lookup of proven size is broadcast; a larger one is joined by a shuffle
-    that spreads the heaviest keys of ``df``. ``spread_by`` names columns that tell rows of one key apart.
-    ``measure=False`` skips the size check, for a lookup that is itself the result of a large aggregate.
+    columns of the same name. Unmatched rows get NULL; of several matches the smallest row counts. A
+    lookup of proven size is broadcast; a larger one is joined by a shuffle that spreads the heaviest keys
+    of ``df``. ``spread_by`` names columns that tell rows of one key apart.
     """
     left_key, right_key = on
-    one = one_match(lookup, right_key, take, newest)
+    one = one_match(lookup, right_key, take)
     facts = df.drop(*take)
-    candidates = lookup.select(right_key, *sorted(set(take.values()) - {right_key}))
-    if measure and (fits_in_broadcast(candidates) or fits_in_broadcast(one)):
-        return facts.join(F.broadcast(one), F.col(left_key) == F.col("__key"), "left").drop("__key")
-    return _spread_join(facts, one, left_key, list(spread_by) or facts.columns).drop("__key")
+    if fits_in_broadcast(lookup, [right_key, *take.values()]) or fits_in_broadcast(one):
+        return attach(facts, F.broadcast(one), left_key)
+    return attach(facts, one, left_key, heavy_keys(facts, left_key), spread_by)
 
 
 def one_match(
     lookup: DataFrame, key: str, take: Mapping[str, str], newest: str | None = None
 ) -> DataFrame:
-    """``lookup`` cut to one row per non-NULL key, as ``__key`` and the taken columns."""
+    """``lookup`` cut to one row per non-NULL key, as ``__key`` and the taken columns.
+
+    The latest row by ``newest`` counts if that is named, then the smallest row.
+    """
     columns = [F.col(src).alias(new) for new, src in take.items()]
     order = nulls_last(list(take))
     if newest:
@@ -66,33 +65,48 @@ def one_match(
     return first_per_key(keyed, ["__key"], order).select("__key", *take)
 
 
-def _spread_join(
-    facts: DataFrame, one: DataFrame, left_key: str, spread_by: Sequence[str]
-) -> DataFrame:
-    """Left join by shuffle. Rows with a heavy or NULL key get a salt; lookup rows of heavy keys get all."""
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.col(left_key)
-    heavy = F.broadcast(
-        facts.where(key.isNotNull())
-        .groupBy(key.alias("__heavy"))
+def heavy_keys(df: DataFrame, key: str, limit: int = HEAVY_KEYS) -> DataFrame:
+    """The ``limit`` most frequent keys, as ``__heavy``."""
+    return (
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("__heavy"))
         .count()
         .orderBy(F.desc("count"), "__heavy")
-        .limit(HEAVY_KEYS)
+        .limit(limit)
         .select("__heavy")
     )
+
+
+def attach(
+    df: DataFrame,
+    one: DataFrame,
+    left_key: str,
+    heavy: DataFrame | None = None,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
+    """Left join with a result of :func:`one_match`.
+
+    With ``heavy`` keys, their rows and those with a NULL key get a salt from ``spread_by`` (all columns by
+    default), and the lookup rows of the heavy keys are repeated for every salt: no reducer has to take all
+    rows of a hot key.
+    """
+    if heavy is None:
+        return df.join(one, F.col(left_key) == F.col("__key"), "left").drop("__key")
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = F.broadcast(heavy)
     is_heavy = F.col("__heavy").isNotNull()
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    left = facts.join(heavy, key == F.col("__heavy"), "left").withColumn(
-        "__left_salt", F.when(is_heavy | key.isNull(), salt).otherwise(0)
+    salt = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(salts)).cast("int")
+    left = df.join(few, F.col(left_key) == F.col("__heavy"), "left").withColumn(
+        "__left_salt", F.when(is_heavy | F.col(left_key).isNull(), salt).otherwise(0)
     )
-    right = one.join(heavy, F.col("__key") == F.col("__heavy"), "left").select(
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    right = one.join(few, F.col("__key") == F.col("__heavy"), "left").select(
         *one.columns,
-        F.explode(
-            F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ).alias("__salt"),
+        F.explode(F.when(is_heavy, every).otherwise(F.array(F.lit(0)))).alias("__salt"),
     )
     matched = (F.col(left_key) == F.col("__key")) & (F.col("__left_salt") == F.col("__salt"))
-    return left.drop("__heavy").join(right, matched, "left").drop("__left_salt", "__salt")
+    joined = left.drop("__heavy").join(right, matched, "left")
+    return joined.drop("__key", "__left_salt", "__salt")
 
 
 def unmatched(df: DataFrame, other: DataFrame, on: tuple[str, str]) -> DataFrame:

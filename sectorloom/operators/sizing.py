@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Sequence
+from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,20 +13,33 @@ MAX_ROWS = 200_000
 MAX_BYTES = 64 * 1024 * 1024
 
 
-def fits_in_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measure ``df`` with one partial aggregate and compare it with the limits.
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    bytes: dict[str, int]
+
+
+_measured: WeakKeyDictionary[DataFrame, Size] = WeakKeyDictionary()
+
+
+def measure(df: DataFrame) -> Size:
+    """Rows, and bytes per column, from one partial aggregate; kept as long as ``df`` lives.
 
     File statistics cannot answer this for a derived table: Spark's estimate for a join is the product
     of both sides, so a lookup of a few hundred rows would be sorted and shuffled with the facts.
     """
-    width = reduce(
-        add,
-        [
-            F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)).cast("bigint")
-            if kind == "string"
-            else F.lit(16).cast("bigint")
+    if df not in _measured:
+        widths = [
+            F.sum(F.octet_length(F.col(f"`{name}`"))) if kind == "string" else 16 * F.count("*")
             for name, kind in df.dtypes
-        ],
-    )
-    found = df.agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
-    return found["n"] <= max_rows and (found["size"] or 0) <= max_bytes
+        ]
+        rows, *sizes = df.agg(F.count("*"), *widths).first()
+        _measured[df] = Size(rows, {c: size or 0 for c, size in zip(df.columns, sizes)})
+    return _measured[df]
+
+
+def fits_in_broadcast(df: DataFrame, columns: Sequence[str] | None = None) -> bool:
+    """Whether ``df``, cut to ``columns``, keeps within the limits."""
+    size = measure(df)
+    width = sum(size.bytes[c.strip("`")] for c in columns or df.columns)
+    return size.rows <= MAX_ROWS and width <= MAX_BYTES

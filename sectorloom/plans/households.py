@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.indicators import ALL_TOILETS, IMPROVED_TOILETS, toilet_total
-from ..functions.ratios import capped_ratio
+from ..functions.ratios import capped_ratio, ratio
 from ..operators.keyed import lookup_join
 
 RATES = ("improved_perc_hhs", "handwashstation_perc_hhs", "handwashsoap_perc_hhs")
@@ -65,29 +66,37 @@ def lga_means(rates: DataFrame, regions: DataFrame, lgas: DataFrame) -> DataFram
 
 
 def lga_means_by_date(rates: DataFrame, regions: DataFrame, lgas: DataFrame) -> DataFrame:
-    """Mean rates per named LGA and date, labelled by the report created first.
+    """Mean rates per named LGA and date, labelled by the region of the report created first.
 
-    One aggregate does the work of picking a row per key and joining it back to the details.
+    The large aggregate keeps numbers only, so that it runs hash-based with map-side combining; the first
+    region is picked among its few rows per LGA and date. No row is joined back to the details.
     """
+    known = rates.where(F.col("lgacode").isNotNull() & F.col("reportdate").isNotNull())
+    sums = rate_sums(known, ["lgacode", "reportdate", "regioncode"], F.min("createdat").alias("first"))
+    earliest = F.struct(
+        F.col("first").isNull().alias("undated"),
+        F.col("first"),
+        F.col("regioncode").isNull().alias("no_region"),
+        F.col("regioncode"),
+    )
     means = (
-        rates.where(F.col("lgacode").isNotNull() & F.col("reportdate").isNotNull())
-        .groupBy("lgacode", "reportdate")
-        .agg(F.min(F.struct(*_created())).alias("first"), *_means())
-        .withColumn("regioncode", F.col("first.regioncode"))
-        .drop("first")
+        sums.groupBy("lgacode", "reportdate")
+        .agg(
+            F.min(earliest).alias("earliest"),
+            *[ratio(F.sum(f"sum_{r}"), F.sum(f"n_{r}")).alias(f"avg_{r}") for r in RATES],
+        )
+        .withColumn("regioncode", F.col("earliest.regioncode"))
+        .drop("earliest")
     )
     named = with_lga(means, lgas).where(F.col("lga_name").isNotNull())
     return with_region_name(named, regions)
 
 
-def _created():
-    """Sort key of the first report: unknown creation time last, then the smaller region code."""
-    return [
-        F.col("createdat").isNull().alias("undated"),
-        F.col("createdat"),
-        F.col("regioncode").isNull().alias("no_region"),
-        F.col("regioncode"),
-    ]
+def rate_sums(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
+    """Sum and known count of each rate per key, to be combined further."""
+    sums = [F.sum(r).alias(f"sum_{r}") for r in RATES]
+    counts = [F.count(r).alias(f"n_{r}") for r in RATES]
+    return df.groupBy(*keys).agg(*sums, *counts, *extra)
 
 
 def _means():

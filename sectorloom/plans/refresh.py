@@ -49,9 +49,9 @@ class MissingTables(RuntimeError):
 
 
 def build_shapes(store: Store, run: Run) -> None:
-    store.replace(
-        "lga_with_shape", lookups.lgas_with_shape(store.read("lgas"), store.read("lga_shapes"))
-    )
+    lgas, shapes = store.read("lgas"), store.read("lga_shapes")
+    store.replace("lga_with_shape", lookups.lgas_with_shape(lgas, shapes))
+    store.replace("unmatched_lga_names", lookups.unmatched_lga_names(lgas, shapes))
 
 
 def build_admin_lookup(store: Store, run: Run) -> None:
@@ -84,9 +84,18 @@ def build_schools(store: Store, run: Run) -> None:
     )
     keys = store.replace("qc_keys", school_quality.failing_keys(presence, combined))
     store.append("qc_log", school_quality.qc_log(presence, combined, keys, run.run_ts))
+
+
+def build_school_quality(store: Store, run: Run) -> None:
+    sources = {name: store.read(name) for name in SCHOOL_SOURCES}
+    combined = store.read("school_combined")
     store.replace(
         "table_counts", school_quality.table_counts(sources, run.low_rows, run.high_rows)
     )
+    store.replace("toilet_share", school_quality.toilet_share(combined))
+    store.replace("water_share", school_quality.water_share(combined))
+    store.replace("uncoded_sources", school_quality.uncoded_sources(combined))
+    store.replace("no_toilet_type", school_quality.no_toilet_type(combined))
     store.replace(
         "null_profile", school_quality.null_profile(sources["school_infrastructure"], sources)
     )
@@ -100,7 +109,10 @@ def build_water_points(store: Store, run: Run) -> None:
         partition_by=["month_timestamp"],
     )
     store.replace("status_summary", water_points.status_share(detail))
-    store.replace("water_point_district_year", water_points.district_rates(detail, admin))
+    yearly = store.replace(
+        "water_point_district_year", water_points.district_rates(detail, admin)
+    )
+    store.replace("districts_without_functional", water_points.without_functional(yearly))
     store.replace(
         "water_point_district_quarter",
         water_points.district_rates(detail, admin, water_points.QUARTER),
@@ -163,6 +175,7 @@ STEPS = (
     Step("admin lookup", ("districts", "regions", "lga_with_shape"), build_admin_lookup),
     Step("light lookup", ("admin_lookup",), build_admin_lookup_light),
     Step("schools", (*SCHOOL_SOURCES, "admin_lookup"), build_schools),
+    Step("school quality", (*SCHOOL_SOURCES, "school_combined"), build_school_quality),
     Step("water points", ("water_point_reports", "admin_lookup"), build_water_points),
     Step("coverage", ("coverage_reports", "admin_lookup"), build_coverage),
     Step("households", ("household_reports", "regions", "lga_with_shape"), build_households),

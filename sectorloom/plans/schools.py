@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import indicators as ind
 from ..functions.periods import within_year
-from ..operators.keyed import enforce_key, lookup_join, one_match
+from ..operators.keyed import attach, enforce_key, lookup_join, one_match
 from ..sources.schemas import (
     SCHOOL_COMBINED,
     SCHOOL_FACILITIES,
@@ -80,8 +80,7 @@ def _attach(schools: DataFrame, source: DataFrame, take: dict[str, str], ddl: st
     """Left join on the school number; of several rows the latest report counts."""
     newest = "reportdate" if "reportdate" in source.columns else None
     columns = f"{ddl}, reportdate date" if newest else ddl
-    one = one_match(conform(source, columns), KEY, take, newest)
-    return schools.join(one, F.col(KEY) == F.col("__key"), "left").drop("__key")
+    return attach(schools, one_match(conform(source, columns), KEY, take, newest), KEY)
 
 
 def assess(schools: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.indicators import village_counts
 from ..functions.ratios import percent
-from ..operators.keyed import lookup_join
+from ..operators.keyed import attach, heavy_keys, lookup_join, one_match
+from ..operators.sizing import fits_in_broadcast
+from .households import rate_sums
 
 HOUSEHOLD_COLUMNS = [
     "lga_improved_san_perc_hhs",
@@ -27,27 +29,33 @@ def service_levels(villages: DataFrame) -> DataFrame:
 
 
 def household_scores(detail: DataFrame) -> DataFrame:
-    return detail.groupBy("lgacode").agg(
+    """Scores per LGA. Rates are summed per label first: the smallest label is then taken among few rows."""
+    sums = rate_sums(detail, ["lgacode", "regioncode", "region_name"])
+    scores = {
+        "improved_perc_hhs": "lga_improved_san_perc_hhs",
+        "handwashstation_perc_hhs": "lga_handwashstation_perc_hhs",
+        "handwashsoap_perc_hhs": "lga_handwashsoap_perc_hhs",
+    }
+    return sums.groupBy("lgacode").agg(
         F.min("regioncode").alias("regioncode"),
         F.min("region_name").alias("region_name"),
-        _score("improved_perc_hhs").alias("lga_improved_san_perc_hhs"),
-        _score("handwashstation_perc_hhs").alias("lga_handwashstation_perc_hhs"),
-        _score("handwashsoap_perc_hhs").alias("lga_handwashsoap_perc_hhs"),
+        *[
+            percent(F.sum(f"sum_{rate}"), F.sum(f"n_{rate}"), 1).alias(score)
+            for rate, score in scores.items()
+        ],
     )
 
 
 def school_scores(combined: DataFrame) -> DataFrame:
+    scores = {
+        "improved_water_source": "lga_school_improved_water_perc",
+        "improved_toilet_type": "lga_school_improved_toilet_type_perc",
+    }
     return combined.groupBy("lga_code").agg(
-        _score("improved_water_source").alias("lga_school_improved_water_perc"),
-        _score("improved_toilet_type").alias("lga_school_improved_toilet_type_perc"),
+        *[percent(F.sum(flag), F.count(flag), 1).alias(score) for flag, score in scores.items()]
     )
 
 
-def _score(rate: str) -> Column:
-    """Mean as a percentage with one digit. One division keeps exact halves exact before rounding."""
-    return percent(F.sum(rate), F.count(rate), 1)
-
-
 def lga_scorecard(
     lgas: DataFrame,
     districts: DataFrame,
@@ -58,6 +66,9 @@ def lga_scorecard(
 ) -> DataFrame:
     """One row per LGA. Every large source comes in already grouped; the functionality rate is that of
     the district's latest year.
+
+    The grouped sources are not measured, which would run them twice. Instead the LGAs are: only when they
+    are many can one of their codes be hot enough to need spreading.
     """
     card = lookup_join(
         lgas, districts, ("districtcode", "districtcode"), {"district_name": "districtname"}
@@ -68,10 +79,10 @@ def lga_scorecard(
         (district_year, ("districtcode", "district_code"), ["func_rate_new"], "year_timestamp"),
         (levels, ("lgacode", "lgacode"), ["lga_water_access_level_perc"], None),
     ]
-    for source, on, columns, newest in sources:
-        card = lookup_join(
-            card, source, on, {c: c for c in columns}, newest, ["lgacode"], measure=False
-        )
+    few = fits_in_broadcast(lgas, [on[0] for _, on, _, _ in sources])
+    for source, (code, key), columns, newest in sources:
+        one = one_match(source, key, {c: c for c in columns}, newest)
+        card = attach(card, one, code, None if few else heavy_keys(lgas, code), ["lgacode"])
     return card.select(
         "lgacode",
         "household_lgacode",

@@ -102,14 +102,17 @@ def latest_located(
     order = [F.col("report_datetime").desc(), *nulls_last(["sysid", *others])]
     latest = first_per_key(in_window, ["dpid"], order)
 
-    named = lookup_join(latest, admin, ("region", "region_code"), {"region_name": "region_name"})
-    named = lookup_join(
-        named, admin, ("district_code", "district_code"), {"district_name": "district_name"}
-    )
+    lookups = [
+        (("region", "region_code"), {"region_name": "region_name"}),
+        (("district_code", "district_code"), {"district_name": "district_name"}),
+        (("lga", "lga_code"), {"lga_name": "lga_name", "geojson": "geojson"}),
+    ]
+    named = latest
+    for on, take in lookups:
+        named = lookup_join(named, admin, on, take, ["dpid"])
     named = lookup_join(
-        named, admin, ("lga", "lga_code"), {"lga_name": "lga_name", "geojson": "geojson"}
+        named, villages, ("village", "villagecode"), {"village_name": "villagename"}, ["dpid"]
     )
-    named = lookup_join(named, villages, ("village", "villagecode"), {"village_name": "villagename"})
     return named.select(
         "dpid",
         "region_name",

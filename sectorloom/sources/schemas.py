@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 WATER_POINT_REPORT = """
     report_datetime timestamp_ntz, region string, district string, village string, dpid string,
@@ -75,9 +74,9 @@ def names(schema: str) -> list[str]:
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """The declared columns in order and type; a missing one is NULL, an extra one is left out."""
     present = {c.lower() for c in df.columns}
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(name) if name in present else F.lit(None)).cast(kind).alias(name)
+            f"CAST({name if name in present else 'NULL'} AS {kind}) AS {name}"
             for name, kind in fields(schema)
         ]
     )

@@ -26,7 +26,20 @@ RAW = (
     "school_infrastructure",
     "school_enrollment",
 )
-QUALITY = ("quality_flags", "qc_log", "qc_keys", "status_summary", "table_counts", "null_profile")
+QUALITY = (
+    "quality_flags",
+    "qc_log",
+    "qc_keys",
+    "status_summary",
+    "unmatched_lga_names",
+    "districts_without_functional",
+    "table_counts",
+    "null_profile",
+    "toilet_share",
+    "water_share",
+    "uncoded_sources",
+    "no_toilet_type",
+)
 
 
 class EmptyStage(RuntimeError):
