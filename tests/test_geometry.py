@@ -1,0 +1,119 @@
+"""WKT to GeoJSON Features, compared as parsed JSON."""
+
+import json
+
+import pytest
+
+from sectorloom.plans.features import split_features, to_feature
+
+VALID = {
+    "POINT (30 10)": ("Point", [30, 10]),
+    "point(-1e-5 100)": ("Point", [-0.00001, 100]),
+    "POINT(0.0000000014 -0.0)": ("Point", [0.000000001, 0]),
+    "POINT Z (1 2 3)": ("Point", [1, 2, 3]),
+    "POINT EMPTY": ("Point", []),
+    "LINESTRING (30 10, 10 30.5, 40 40)": ("LineString", [[40, 40], [10, 30.5], [30, 10]]),
+    "MULTIPOINT((1 2),(3 4))": ("MultiPoint", [[1, 2], [3, 4]]),
+    "MULTIPOINT(1 2, 3 4)": ("MultiPoint", [[1, 2], [3, 4]]),
+    "MULTILINESTRING((0 0,1 1),(2 2,3 3))": (
+        "MultiLineString",
+        [[[1, 1], [0, 0]], [[3, 3], [2, 2]]],
+    ),
+    "POLYGON((0 0,0 4,4 4,4 0,0 0))": ("Polygon", [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]),
+    "POLYGON((0 0,4 0,4 4,0 4,0 0))": ("Polygon", [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]),
+    "POLYGON EMPTY": ("Polygon", []),
+    "MULTIPOLYGON (((0 0, 0 1, 1 1, 0 0)))": ("MultiPolygon", [[[[0, 0], [1, 1], [0, 1], [0, 0]]]]),
+}
+INVALID = [
+    "",
+    "garbage",
+    "POLYGON((0 0, 1 1",
+    "POLYGON((0 0,1 1,1 0))",
+    "POLYGON((0 0,1 1,0 0))",
+    "POLYGON(((0 0,1 1,1 0,0 0)))",
+    "MULTIPOLYGON((0 0,1 1,1 0,0 0))",
+    "POINT(1)",
+    "POINT(1 2 3 4)",
+    "POINT(1 2)3",
+    "POINT(1 2,3 4)",
+    "POINT(a b)",
+    "POINT(NaN 4)",
+    "LINESTRING(1 1)",
+    "LINESTRING(1 1,2 2 2)",
+    "CIRCLE(1 2)",
+]
+
+
+def table(spark, texts):
+    rows = [(i, None if i % 2 else "n", t) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "id int, name string, wkt string")
+
+
+def test_valid_text(spark):
+    rows = to_feature(table(spark, VALID), "wkt").collect()
+    assert len(rows) == len(VALID)
+    for row in rows:
+        feature = json.loads(row["geojson"])
+        kind, coordinates = VALID[row["wkt"]]
+        assert feature["type"] == "Feature"
+        assert feature["geometry"] == {"type": kind, "coordinates": coordinates}
+        assert feature["properties"] == {"id": row["id"], "name": row["name"]}
+
+
+def test_invalid_text_goes_to_the_errors(spark):
+    good, bad = split_features(table(spark, INVALID), "wkt")
+    assert good.count() == 0
+    assert {r["wkt"] for r in bad.collect()} == set(INVALID)
+
+
+def test_null_text_gives_a_feature_without_geometry(spark):
+    good, bad = split_features(table(spark, [None]), "wkt")
+    assert json.loads(good.first()["geojson"])["geometry"] is None
+    assert bad.count() == 0
+
+
+def area(ring):
+    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:]))
+
+
+def test_outer_rings_turn_left_and_holes_right(spark):
+    outer = ["0 0,9 0,9 9,0 9,0 0", "0 0,0 9,9 9,9 0,0 0"]
+    hole = ["1 1,2 1,2 2,1 2,1 1", "1 1,1 2,2 2,2 1,1 1"]
+    texts = [f"POLYGON(({o}),({h}))" for o in outer for h in hole]
+    texts += [f"MULTIPOLYGON((({o}),({h})),(({o})))" for o in outer for h in hole]
+    for row in to_feature(table(spark, texts), "wkt").collect():
+        geometry = json.loads(row["geojson"])["geometry"]
+        polygons = geometry["coordinates"]
+        if geometry["type"] == "Polygon":
+            polygons = [polygons]
+        for first, *holes in polygons:
+            assert area(first) > 0
+            assert all(area(h) < 0 for h in holes)
+
+
+def test_long_ring_is_read_whole(spark):
+    points = [f"{i} {i * i}" for i in range(20000)]
+    ring = ", ".join([*points, "0 20", "0 0"])
+    feature = json.loads(to_feature(table(spark, [f"POLYGON(({ring}))"]), "wkt").first()["geojson"])
+    (read,) = feature["geometry"]["coordinates"]
+    assert len(read) == 20002
+    assert sorted(read)[-1] == [19999, 19999**2]
+
+
+def test_other_reference_system_is_named(spark):
+    row = to_feature(table(spark, ["POINT(1 2)"]), "wkt", "shape", 3857).first()
+    geometry = json.loads(row["shape"])["geometry"]
+    assert geometry["crs"]["properties"]["name"] == "EPSG:3857"
+
+
+def test_output_column_is_replaced_and_not_a_property(spark):
+    df = table(spark, ["POINT(1 2)"]).selectExpr("*", "'old' AS geojson")
+    row = to_feature(df, "wkt").first()
+    assert "geojson" not in json.loads(row["geojson"])["properties"]
+    again = to_feature(to_feature(df, "wkt"), "wkt").first()
+    assert again == row
+
+
+def test_missing_column(spark):
+    with pytest.raises(ValueError, match="does not exist"):
+        to_feature(table(spark, []), "nope")
