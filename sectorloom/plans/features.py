@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
@@ -46,15 +46,20 @@ def to_feature(
 
 
 def _parsed(df: DataFrame, wkt_col: str) -> DataFrame:
-    wkt = F.col(wkt_col)
-    typed = df.withColumns(
-        {
-            "__kind": geo.geometry_type(wkt),
-            "__body": geo.wkt_body(wkt),
-            "__empty": geo.is_empty(wkt),
-        }
+    wkt, kind, body, rings = (F.col(c) for c in (wkt_col, "__kind", "__body", "__rings"))
+    typed = _bind(
+        df, __kind=geo.geometry_type(wkt), __body=geo.wkt_body(wkt), __empty=geo.is_empty(wkt)
     )
-    ringed = typed.withColumn("__rings", geo.parse_rings(F.col("__kind"), F.col("__body")))
-    readable = geo.is_valid(F.col("__kind"), F.col("__body"), F.col("__rings"))
-    valid = (F.col("__kind") != "") & (F.col("__empty") | F.coalesce(readable, F.lit(False)))
-    return ringed.withColumn("__valid", F.coalesce(valid, F.lit(False)))
+    ringed = _bind(typed, __rings=geo.parse_rings(kind, body))
+    readable = geo.is_valid(kind, body, rings)
+    valid = (kind != "") & (F.col("__empty") | F.coalesce(readable, F.lit(False)))
+    return _bind(ringed, __valid=F.coalesce(valid, F.lit(False)))
+
+
+def _bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    A plain projection would be merged into every later use, and the parsed rings of a large shape would
+    be parsed again for each of its points. The optimizer does not merge across a generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
