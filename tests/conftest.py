@@ -39,9 +39,9 @@ def as_rows(df):
     return sorted((tuple(row) for row in df.collect()), key=repr)
 
 
-def plan(df):
-    """The physical plan as text."""
+def plan(df, mode="simple"):
+    """The physical plan as text; ``formatted`` lists filters and columns in full."""
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
-        df.explain()
+        df.explain(mode=mode)
     return text.getvalue()
