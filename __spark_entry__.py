@@ -33,6 +33,14 @@ from sectorloom.sources.shared import new_folder  # noqa: E402
 from sectorloom.sources.stores import RAW, FolderStore  # noqa: E402
 from sectorloom.streaming.refresh import start_quality_flags, start_refresh  # noqa: E402
 
+try:
+    import corpus_pipeline
+    import sectorloom.llm.queries as llm_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "sectorloom.llm", "sectorloom.llm.queries"):
+        raise
+    llm_queries = None
+
 LOW_ROWS, HIGH_ROWS = 1850, 1900
 
 
@@ -355,8 +363,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Inputs], DataFrame]):
         return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    bound = {name: bind(build) for name, build in QUERIES.items()}
+    if llm_queries:
+        bound |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return bound
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    sql = dict(oracle_queries.oracle_sql())
+    if llm_queries:
+        sql |= llm_queries.ORACLE
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
