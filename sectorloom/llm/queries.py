@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import sharding, url_filter, va_file
 from .common import table
 
 
@@ -12,7 +12,17 @@ def op8_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op2_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op2_redirect_equivalence": op2_redirect_equivalence,
+    "op6_vector_approximation": op6_vector_approximation,
     "op8_stratified_interleaving": op8_stratified_interleaving,
 }
 
@@ -31,7 +41,52 @@ _CRC32_OF_TEXT = """
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])
     ))::BIGINT"""
 
+_PAGE_RULES = """(VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+    ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
+    rules(action, rule_host, rule_path)"""
+
 ORACLE = {
+    "op2_redirect_equivalence": f"""
+    WITH RECURSIVE split AS (
+        SELECT page_id, url, html, CASE WHEN instr(url, '://') > 0
+            THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+        FROM pages
+    ),
+    urls AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^#]*') AS node,
+            coalesce(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical[^>]*>'), '') AS tag
+        FROM split
+    ),
+    links AS (
+        SELECT node AS a, regexp_extract(tag, '(?is)\\bhref\\s*=\\s*["'']?[a-z]+://([^"''#\\s>]+)', 1) AS b
+        FROM urls WHERE tag <> ''
+    ),
+    edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (SELECT node AS a, node AS b FROM urls UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+    ruled AS (
+        SELECT page_id, host, path, node, arg_min(rule_host || rule_path, (-length(rule_host || rule_path), action))
+            AS rule, arg_min(action, (-length(rule_host || rule_path), action)) AS action
+        FROM urls LEFT JOIN {_PAGE_RULES} ON (host = rule_host OR suffix(host, '.' || rule_host))
+            AND starts_with(path, rule_path)
+        GROUP BY ALL
+    ),
+    aliases AS (
+        SELECT reach.a AS node, min(ruled.action) AS action FROM reach JOIN ruled ON ruled.node = reach.b GROUP BY ALL
+    )
+    SELECT page_id, host, path, rule, coalesce(ruled.action, aliases.action, 'allow') AS verdict
+    FROM ruled LEFT JOIN aliases USING (node)""",
+    "op6_vector_approximation": """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec FROM embeddings
+    ),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5""",
     "op8_stratified_interleaving": f"""
     WITH {_CRC32},
     rows AS (
