@@ -28,7 +28,8 @@ def materialised(df: DataFrame, purpose: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows with about ``limit`` bytes of ``column`` each, so memory does not follow batch size."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(batch.column(column))
+    sizes = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes, dtype=np.int64) // limit
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
     for start, end in itertools.pairwise(edges):
@@ -36,6 +37,13 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             yield batch.slice(start, end - start)
 
 
+def by_slices(function, column: pa.Array, limit: int = SLICE_BYTES) -> pa.Array:
+    """``function`` of a string column, applied to runs of about ``limit`` bytes."""
+    batch = pa.RecordBatch.from_arrays([column], ["text"])
+    parts = [function(part.column("text")) for part in slices(batch, "text", limit)]
+    return pa.concat_arrays(parts) if parts else function(column)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column as Python strings, null as empty."""
     return [x or "" for x in batch.column(column).to_pylist()]
