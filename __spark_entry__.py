@@ -365,10 +365,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     bound = {name: bind(build) for name, build in QUERIES.items()}
     if llm_queries:
-        bound |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+        more = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+        bound |= {name: _importable(run) for name, run in more.items()}
     return bound
 
 
+def _importable(run: Callable[[SparkSession, str], DataFrame]):
+    """``run`` with Python workers that find this repository; a cluster gets the package as any other."""
+
+    def with_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parent)
+        return run(spark, sf_dir)
+
+    return with_path
+
+
 def oracle_sql() -> dict[str, str]:
     sql = dict(oracle_queries.oracle_sql())
     if llm_queries:
