@@ -27,10 +27,13 @@ def materialised(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of whole rows with about ``limit`` bytes of ``column`` each, so memory does not follow batch size."""
+    """Runs of whole rows with about ``limit`` bytes of ``column`` each, so memory does not follow batch size.
+
+    A row counts 64 bytes more, which bounds the rows of a run too.
+    """
     lengths = pc.binary_length(batch.column(column))
     sizes = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes, dtype=np.int64) // limit
+    group = np.cumsum(sizes + 64, dtype=np.int64) // limit
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
     for start, end in itertools.pairwise(edges):
         if end > start:

@@ -3,7 +3,7 @@
 Grades 0 (bad), 1 (well written but toxic) and 2 (good) share one weight per text feature; ordered thresholds turn
 the sum of weights into P(grade <= j). A document is selected by the tail probability of the top grade.
 
-Features are the hashes of a document's distinct words and of a few bucketed traits: shares of symbols, capitals
+Features are the hashes of a document's distinct words, of their first four and five bytes, and of a few bucketed traits: shares of symbols, capitals
 and repeated words, and length. The model is a table of fixed size, found by a hash and checked by it, so a
 word that was never seen has no weight.
 
@@ -16,7 +16,7 @@ matter. These bounds hold what reaches the driver. Every document is scored in f
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from .common import by_slices, materialised, slices
 from .words import Words, counted, mixed, utf8, word_bytes, words
 
-SAMPLE = 16_000
-MIN_DOCS = 12
+SAMPLE = 10_000
+MIN_DOCS = 20
 MAX_FEATURES = 1 << 16
-LEAST_Z = 5.0
+LEAST_Z = 8.0
+PREFIXES = (4, 5)
 SLOTS = 1 << 20
 STEPS = 300
 RIDGE = 0.05
@@ -58,15 +59,14 @@ def _cumulative(eta: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of every feature of every text; a text without words has its traits only."""
-    found = words(column)
-    text, hashes, _ = counted(found)
+    found = words(column, PREFIXES)
+    parts = [counted(found), *(counted(replace(found, hashes=h)) for h in found.prefixes.values())]
     traits = _traits(column, found)
-    n = len(column)
     kinds = np.arange(traits.shape[1], dtype=np.uint64) * np.uint64(1000)
-    traits_hash = mixed(traits.astype(np.uint64) + kinds[None, :] + np.uint64(1 << 40))
+    of_traits = mixed(traits.astype(np.uint64) + kinds[None, :] + np.uint64(1 << 40)) >> np.uint64(16)
     return (
-        np.concatenate([text, np.repeat(np.arange(n), traits.shape[1])]),
-        np.concatenate([hashes, traits_hash.ravel()]),
+        np.concatenate([*(x[0] for x in parts), np.repeat(np.arange(len(column)), traits.shape[1])]),
+        np.concatenate([*(x[1] for x in parts), of_traits.ravel()]),
     )
 
 
@@ -217,7 +217,7 @@ def fit(
         by_gap = [by_threshold[j:].sum() * gaps[j - 1] for j in range(1, cuts)]
         gradient = np.concatenate([[by_threshold.sum()], by_gap, by_weight])
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
-        rate = 0.1 * (1 - step / (STEPS + 1))
+        rate = 0.2 * (1 - step / (STEPS + 1))
         free = free - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     gaps = np.exp(free[1:cuts])
     return free[cuts:], free[0] + np.concatenate([[0], np.cumsum(gaps)])

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, url_filter, va_file
+from . import lang_id, quality, sharding, url_filter, va_file
 from .common import table
 
 
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -16,13 +20,19 @@ def op2_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op5_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.top_k(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
     "op2_redirect_equivalence": op2_redirect_equivalence,
+    "op5_language_bitmask": op5_language_bitmask,
     "op6_vector_approximation": op6_vector_approximation,
+    "op7_ordinal_quality": op7_ordinal_quality,
     "op8_stratified_interleaving": op8_stratified_interleaving,
 }
 
