@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lang_id, quality, sharding, url_filter, va_file
+from . import bpe, html_extract, lang_id, quality, sharding, url_filter, va_file
 from .common import table
 
 
@@ -20,6 +20,14 @@ def op2_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op3_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+def op4_block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
@@ -30,6 +38,8 @@ def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_redirect_equivalence": op2_redirect_equivalence,
+    "op3_recursive_bpe": op3_recursive_bpe,
+    "op4_block_tree": op4_block_tree,
     "op5_language_bitmask": op5_language_bitmask,
     "op6_vector_approximation": op6_vector_approximation,
     "op7_ordinal_quality": op7_ordinal_quality,
