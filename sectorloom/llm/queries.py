@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, lang_id, quality, sharding, url_filter, va_file
+from ..sources.shared import new_folder
+from . import bpe, html_extract, lang_id, quality, sharding, token_output, url_filter, va_file
 from .common import table
 
 
@@ -16,6 +17,10 @@ def op8_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op1_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.listing(table(spark, sf_dir, "documents"), new_folder(spark, "tokens"))
+
+
 def op2_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -37,6 +42,7 @@ def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simple8b": op1_simple8b,
     "op2_redirect_equivalence": op2_redirect_equivalence,
     "op3_recursive_bpe": op3_recursive_bpe,
     "op4_block_tree": op4_block_tree,
