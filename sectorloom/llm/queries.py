@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.shared import new_folder
-from . import bpe, html_extract, lang_id, quality, sharding, token_output, url_filter, va_file
+from . import (
+    bpe,
+    decontaminate,
+    html_extract,
+    lang_id,
+    near_dup,
+    quality,
+    sharding,
+    token_output,
+    url_filter,
+    va_file,
+)
 from .common import table
 
 
@@ -41,6 +52,16 @@ def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+def op10_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_simple8b": op1_simple8b,
     "op2_redirect_equivalence": op2_redirect_equivalence,
@@ -50,6 +71,8 @@ QUERIES = {
     "op6_vector_approximation": op6_vector_approximation,
     "op7_ordinal_quality": op7_ordinal_quality,
     "op8_stratified_interleaving": op8_stratified_interleaving,
+    "op9_weighted_sampling": op9_weighted_sampling,
+    "op10_simhash_windows": op10_simhash_windows,
 }
 
 # The checksum polynomial of CRC-32, reflected.

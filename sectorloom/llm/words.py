@@ -17,12 +17,13 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 @dataclass
 class Words:
-    """Hashes of all words, the number of the text each is in, and where the words of each text begin."""
+    """Hashes of all words, the number of the text each is in, where the words of each text begin, and their bytes."""
 
     hashes: np.ndarray
     text: np.ndarray
     offsets: np.ndarray
     prefixes: dict[int, np.ndarray] | None = None
+    lengths: np.ndarray | None = None
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +84,7 @@ def words(column: pa.Array, prefixes: tuple[int, ...] = ()) -> Words:
     }
     places = np.searchsorted(starts, offsets)
     text = np.repeat(np.arange(len(column)), np.diff(places))
-    return Words(hashes, text, places, first)
+    return Words(hashes, text, places, first, ends - starts)
 
 
 def shingles(found: Words, size: int = SHINGLE) -> Words:
