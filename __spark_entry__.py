@@ -213,9 +213,7 @@ def _school_combined(data: Inputs) -> DataFrame:
 
 
 def _school_qc_log(data: Inputs) -> DataFrame:
-    combined, presence = data.schools(), data.presence()
-    keys = school_quality.failing_keys(presence, combined)
-    return school_quality.qc_log(presence, combined, keys, RUN_TS)
+    return school_quality.qc_log(data.presence(), data.schools(), RUN_TS)
 
 
 def _school_qc_keys(data: Inputs) -> DataFrame:
@@ -271,7 +269,7 @@ def _refreshed_scorecard(data: Inputs) -> DataFrame:
         new_folder(data.spark, "marts"),
         inputs={name: getattr(data, name) for name in RAW},
     )
-    refresh.refresh_all(store, refresh.Run(AS_OF, YEAR, RUN_TS))
+    refresh.refresh_all(store, refresh.Run(AS_OF, YEAR, RUN_TS, LOW_ROWS, HIGH_ROWS))
     return rounded(store.read("lga_scorecard"), SCORECARD_MEANS)
 
 

@@ -17,11 +17,14 @@ def period_start(ts: Column, unit: str) -> Column:
 
 
 def year_stamp(year: Column) -> Column:
-    """January 1st of a year given as text or number; NULL if it is not a year."""
+    """January 1st of a year given as text or number; text may go on after the year, as in ``2023/24``.
+
+    NULL if it does not begin with a year.
+    """
     first = F.lit(1)
     midnight = F.lit(0)
     return F.try_make_timestamp_ntz(
-        year.try_cast("int"), first, first, midnight, midnight, midnight
+        F.regexp_extract(year.cast("string"), r"^\s*(\d{4})(?!\d)", 1).try_cast("int"), first, first, midnight, midnight, midnight
     )
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .sizing import fits_in_broadcast
 
-HEAVY_KEYS = 64
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the stated order.
@@ -27,6 +28,18 @@ def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Columns to take from ``table``; ``on`` is (column of the facts, column of the table).
+
+    ``take`` maps new names to columns of the table.
+    """
+
+    table: DataFrame
+    on: tuple[str, str]
+    take: Mapping[str, str]
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -34,19 +47,33 @@ def lookup_join(
     take: Mapping[str, str],
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Attach columns of ``lookup`` without ever changing the row count of ``df``.
+    """One lookup of :func:`lookup_joins`."""
+    return lookup_joins(df, [Lookup(lookup, on, take)], spread_by)
+
+
+def lookup_joins(df: DataFrame, lookups: Sequence[Lookup], spread_by: Sequence[str] = ()) -> DataFrame:
+    """Attach columns of several lookups without ever changing the row count of ``df``.
 
-    ``on`` is (column of df, column of lookup); ``take`` maps new names to lookup columns and replaces
-    columns of the same name. Unmatched rows get NULL; of several matches the smallest row counts. A
-    lookup of proven size is broadcast; a larger one is joined by a shuffle that spreads the heaviest keys
-    of ``df``. ``spread_by`` names columns that tell rows of one key apart.
+    Taken columns replace those of the same name, so no lookup may read what another takes. Unmatched rows get NULL;
+    of several matches the smallest row counts. A lookup of proven size is broadcast. Larger ones are joined by
+    shuffles; the heavy keys of all of them come from one pass over ``df`` before the joins, so the plan reads the
+    facts once, however many lookups there are. ``spread_by`` names columns that tell rows of one key apart.
     """
-    left_key, right_key = on
-    one = one_match(lookup, right_key, take)
-    facts = df.drop(*take)
-    if fits_in_broadcast(lookup, [right_key, *take.values()]) or fits_in_broadcast(one):
-        return attach(facts, F.broadcast(one), left_key)
-    return attach(facts, one, left_key, heavy_keys(facts, left_key), spread_by)
+    ones = [one_match(x.table, x.on[1], x.take) for x in lookups]
+    small = [
+        fits_in_broadcast(x.table, [x.on[1], *x.take.values()]) or fits_in_broadcast(one)
+        for x, one in zip(lookups, ones)
+    ]
+    large = [x.on[0] for x, fits in zip(lookups, small) if not fits]
+    heavy = heavy_keys(df, large) if large else {}
+    joined = df
+    for x, one, fits in zip(lookups, ones, small):
+        facts = joined.drop(*x.take)
+        if fits:
+            joined = attach(facts, F.broadcast(one), x.on[0])
+        else:
+            joined = attach(facts, one, x.on[0], heavy[x.on[0]], spread_by)
+    return joined
 
 
 def one_match(
@@ -65,48 +92,61 @@ def one_match(
     return first_per_key(keyed, ["__key"], order).select("__key", *take)
 
 
-def heavy_keys(df: DataFrame, key: str, limit: int = HEAVY_KEYS) -> DataFrame:
-    """The ``limit`` most frequent keys, as ``__heavy``."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__heavy"))
-        .count()
-        .orderBy(F.desc("count"), "__heavy")
-        .limit(limit)
-        .select("__heavy")
+def heavy_keys(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[object, int]]:
+    """Per column, its heavy keys and over how many reducers each is to be spread.
+
+    A key is heavy if it has more rows than a reducer's even share. So there are fewer heavy keys than
+    reducers, and a key is spread over as many reducers as it has shares.
+    """
+    reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = list(dict.fromkeys(columns))
+    counts = df.groupingSets([[F.col(c)] for c in named], *named).agg(
+        F.count("*").alias("__n"), F.grouping_id().alias("__set")
     )
+    total = counts.groupBy("__set").agg(F.sum("__n").alias("__rows"))
+    share = total.agg(F.max("__rows")).scalar() / F.lit(reducers)
+    heavy: dict[str, dict[object, int]] = {c: {} for c in named}
+    for row in counts.where(F.col("__n") > share).withColumn("__share", share).collect():
+        # The bit of the only column of a grouping set is 0.
+        (name,) = [c for i, c in enumerate(named) if not row["__set"] >> (len(named) - 1 - i) & 1]
+        if row[name] is not None:
+            heavy[name][row[name]] = min(reducers, math.ceil(row["__n"] / row["__share"]))
+    return heavy
 
 
 def attach(
     df: DataFrame,
     one: DataFrame,
     left_key: str,
-    heavy: DataFrame | None = None,
+    heavy: Mapping[object, int] | None = None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Left join with a result of :func:`one_match`.
 
-    With ``heavy`` keys, their rows and those with a NULL key get a salt from ``spread_by`` (all columns by
-    default), and the lookup rows of the heavy keys are repeated for every salt: no reducer has to take all
-    rows of a hot key.
+    With ``heavy`` keys, their rows get a salt from ``spread_by`` (all columns by default) below the number given, and
+    the lookup row of such a key is repeated for every salt: no reducer has to take all rows of a hot key. Rows
+    with a NULL key match nothing and are spread over all reducers.
     """
     if heavy is None:
         return df.join(one, F.col(left_key) == F.col("__key"), "left").drop("__key")
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    few = F.broadcast(heavy)
-    is_heavy = F.col("__heavy").isNotNull()
-    salt = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(salts)).cast("int")
-    left = df.join(few, F.col(left_key) == F.col("__heavy"), "left").withColumn(
-        "__left_salt", F.when(is_heavy | F.col(left_key).isNull(), salt).otherwise(0)
+    spark = df.sparkSession
+    reducers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = one.schema["__key"].dataType
+    spread = T.StructType([T.StructField("__heavy", kind), T.StructField("__copies", T.IntegerType())])
+    few = F.broadcast(spark.createDataFrame([tuple(x) for x in heavy.items()], spread))
+    digest = F.xxhash64(*(spread_by or df.columns))
+    copies = F.when(F.col(left_key).isNull(), reducers).otherwise(F.coalesce("__copies", F.lit(1)))
+    left = (
+        df.join(few, F.col(left_key) == F.col("__heavy"), "left")
+        .withColumn("__left_salt", F.pmod(digest, copies).cast("int"))
+        .drop("__heavy", "__copies")
     )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    every = F.sequence(F.lit(0), F.coalesce("__copies", F.lit(1)) - 1)
     right = one.join(few, F.col("__key") == F.col("__heavy"), "left").select(
-        *one.columns,
-        F.explode(F.when(is_heavy, every).otherwise(F.array(F.lit(0)))).alias("__salt"),
+        *one.columns, F.explode(every).alias("__salt")
     )
     matched = (F.col(left_key) == F.col("__key")) & (F.col("__left_salt") == F.col("__salt"))
-    joined = left.drop("__heavy").join(right, matched, "left")
-    return joined.drop("__key", "__left_salt", "__salt")
+    return left.join(right, matched, "left").drop("__key", "__left_salt", "__salt")
 
 
 def unmatched(df: DataFrame, other: DataFrame, on: tuple[str, str]) -> DataFrame:

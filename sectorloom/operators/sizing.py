@@ -6,8 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.schemas import actual
 
 MAX_ROWS = 200_000
 MAX_BYTES = 64 * 1024 * 1024
@@ -16,30 +19,41 @@ MAX_BYTES = 64 * 1024 * 1024
 @dataclass(frozen=True)
 class Size:
     rows: int
-    bytes: dict[str, int]
+    bytes: int
 
 
-_measured: WeakKeyDictionary[DataFrame, Size] = WeakKeyDictionary()
+_measured: WeakKeyDictionary[DataFrame, dict[tuple[str, ...], Size]] = WeakKeyDictionary()
 
 
-def measure(df: DataFrame) -> Size:
-    """Rows, and bytes per column, from one partial aggregate; kept as long as ``df`` lives.
+def measure(df: DataFrame, columns: Sequence[str] | None = None) -> Size:
+    """Rows, and bytes of the named columns, from one partial aggregate that reads only those.
 
     File statistics cannot answer this for a derived table: Spark's estimate for a join is the product
-    of both sides, so a lookup of a few hundred rows would be sorted and shuffled with the facts.
+    of both sides, so a lookup of a few hundred rows would be sorted and shuffled with the facts. The answer is
+    kept as long as ``df`` lives.
     """
-    if df not in _measured:
-        widths = [
-            F.sum(F.octet_length(F.col(f"`{name}`"))) if kind == "string" else 16 * F.count("*")
-            for name, kind in df.dtypes
-        ]
-        rows, *sizes = df.agg(F.count("*"), *widths).first()
-        _measured[df] = Size(rows, {c: size or 0 for c, size in zip(df.columns, sizes)})
-    return _measured[df]
+    wanted = [c.strip("`") for c in columns or df.columns]
+    own = tuple(dict.fromkeys(actual(df, c) or c for c in wanted))
+    known = _measured.setdefault(df, {})
+    if own not in known:
+        widths = [_width(F.col(f"`{name}`"), df.schema[name].dataType) for name in own]
+        rows, total = df.agg(F.count("*"), F.sum(sum(widths, F.lit(0)).cast("long"))).first()
+        known[own] = Size(rows, total or 0)
+    return known[own]
+
+
+def _width(value: Column, kind: T.DataType) -> Column:
+    """Bytes of one value; nested values are charged as their JSON text."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(value)))
+    else:
+        size = F.lit(16)
+    return F.coalesce(size, F.lit(0)) + 8
 
 
 def fits_in_broadcast(df: DataFrame, columns: Sequence[str] | None = None) -> bool:
     """Whether ``df``, cut to ``columns``, keeps within the limits."""
-    size = measure(df)
-    width = sum(size.bytes[c.strip("`")] for c in columns or df.columns)
-    return size.rows <= MAX_ROWS and width <= MAX_BYTES
+    size = measure(df, columns)
+    return size.rows <= MAX_ROWS and size.bytes <= MAX_BYTES

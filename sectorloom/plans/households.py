@@ -7,16 +7,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.indicators import ALL_TOILETS, IMPROVED_TOILETS, toilet_total
 from ..functions.ratios import capped_ratio, ratio
-from ..operators.keyed import lookup_join
+from ..operators.keyed import Lookup, lookup_joins
+from ..sources.schemas import actual, run_number
 
 RATES = ("improved_perc_hhs", "handwashstation_perc_hhs", "handwashsoap_perc_hhs")
 INSTITUTION = "MOH"
 DATA_TYPE = "householdsanitation"
 
 
+def check_computed(reports: DataFrame) -> None:
+    """Raise if a column that the rates add exists in the reports as one that can't hold a number."""
+    for name in ("totalhouseholds", "improved_count_hhs", *RATES):
+        own = actual(reports, name)
+        if own and not isinstance(reports.schema[own].dataType, T.NumericType):
+            raise TypeError(f"column {own} is not a number")
+
+
 def household_rates(reports: DataFrame) -> DataFrame:
     """All raw columns with household totals and rates capped at 1."""
     total = F.col("totalhouseholds")
@@ -35,23 +45,34 @@ def household_rates(reports: DataFrame) -> DataFrame:
 
 
 def with_region_name(df: DataFrame, regions: DataFrame) -> DataFrame:
-    return lookup_join(
-        df, regions, ("regioncode", "household_regioncode"), {"region_name": "name"}
-    )
+    return lookup_joins(df, [region_lookup(regions)])
 
 
 def with_lga(df: DataFrame, lgas: DataFrame, include_geojson: bool = True) -> DataFrame:
+    return lookup_joins(df, [lga_lookup(lgas, include_geojson)])
+
+
+def region_lookup(regions: DataFrame) -> Lookup:
+    return Lookup(regions, ("regioncode", "household_regioncode"), {"region_name": "name"})
+
+
+def lga_lookup(lgas: DataFrame, include_geojson: bool = True) -> Lookup:
     take = {"lga_name": "lganame"}
     if include_geojson:
         take["geojson"] = "geojson"
-    return lookup_join(df, lgas, ("lgacode", "household_lgacode"), take)
+    return Lookup(lgas, ("lgacode", "household_lgacode"), take)
 
 
 def household_detail(
     reports: DataFrame, regions: DataFrame, lgas: DataFrame, include_geojson: bool = True
 ) -> DataFrame:
-    named = with_region_name(household_rates(reports), regions)
-    return with_lga(named, lgas, include_geojson)
+    return with_names(household_rates(reports), regions, lgas, include_geojson)
+
+
+def with_names(
+    rates: DataFrame, regions: DataFrame, lgas: DataFrame, include_geojson: bool = True
+) -> DataFrame:
+    return lookup_joins(rates, [region_lookup(regions), lga_lookup(lgas, include_geojson)])
 
 
 def lga_means(rates: DataFrame, regions: DataFrame, lgas: DataFrame) -> DataFrame:
@@ -62,7 +83,7 @@ def lga_means(rates: DataFrame, regions: DataFrame, lgas: DataFrame) -> DataFram
     """
     means = rates.groupBy("lgacode", "reportdate", "regioncode").agg(*_means())
     known = means.dropna(subset=[f"avg_{r}" for r in RATES])
-    return with_lga(with_region_name(known, regions), lgas)
+    return with_names(known, regions, lgas)
 
 
 def lga_means_by_date(rates: DataFrame, regions: DataFrame, lgas: DataFrame) -> DataFrame:
@@ -110,6 +131,7 @@ def quality_flags(detail: DataFrame, run_ts: dt.datetime) -> DataFrame:
         F.count_if(F.col("regioncode").isNotNull() & F.col("region_name").isNull()).alias("region"),
         F.count_if(F.col("lgacode").isNotNull() & F.col("lga_name").isNull()).alias("lga"),
     )
+    # Kind, text and remark of each flag.
     checks = [
         (
             "zero_total",
@@ -133,7 +155,7 @@ def quality_flags(detail: DataFrame, run_ts: dt.datetime) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
-                F.lit(i).cast("bigint").alias("id"),
+                F.lit(run_number(run_ts) + i).cast("bigint").alias("id"),
                 F.col(count).alias("n"),
                 F.lit(kind).alias("error_alert_type"),
                 F.lit(text).alias("description"),

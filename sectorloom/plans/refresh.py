@@ -7,10 +7,10 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import MAX_ROWS
+from ..sources.schemas import run_number
 from ..sources.stores import Store
 from . import coverage, households, lookups, school_quality, schools, scorecard, water_points
 
@@ -24,6 +24,16 @@ SCHOOL_SOURCES = (
 )
 
 
+# How the text of a processing error begins, by kind.
+ERRORS = (
+    "Table Creation Error: ",
+    "Alter Table Error: ",
+    "Derived Fields Computation Error: ",
+    "Data Enrichment Error: ",
+    "LGA Summary Table Creation Error: ",
+)
+
+
 @dataclass(frozen=True)
 class Run:
     """Parameters of one refresh; the same run on the same inputs gives the same marts."""
@@ -31,8 +41,12 @@ class Run:
     as_of: dt.date
     year: int
     run_ts: dt.datetime
-    low_rows: int = 1
-    high_rows: int = MAX_ROWS
+    low_rows: int
+    high_rows: int
+
+    def owns(self, column: str) -> Column:
+        """Rows of a log that an earlier attempt of this run left."""
+        return F.col(column) == F.lit(self.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 @dataclass(frozen=True)
@@ -82,8 +96,9 @@ def build_schools(store: Store, run: Run) -> None:
         combined,
         run.year,
     )
-    keys = store.replace("qc_keys", school_quality.failing_keys(presence, combined))
-    store.append("qc_log", school_quality.qc_log(presence, combined, keys, run.run_ts))
+    store.replace(school_quality.KEY_TABLE, school_quality.failing_keys(presence, combined))
+    entries = school_quality.qc_log(presence, combined, run.run_ts)
+    store.record("qc_log", entries, run.owns("log_time"))
 
 
 def build_school_quality(store: Store, run: Run) -> None:
@@ -126,14 +141,22 @@ def build_coverage(store: Store, run: Run) -> None:
 
 
 def build_households(store: Store, run: Run) -> None:
+    """Each part of the build has its own kind of error; reading and writing the table is the first kind."""
     regions, lgas = store.read("regions"), store.read("lga_with_shape")
-    with error_flag(store, run, "Table Creation Error: "):
-        detail = store.replace(
-            "household_detail",
-            households.household_detail(store.read("household_reports"), regions, lgas),
-        )
-    store.append("quality_flags", households.quality_flags(detail, run.run_ts))
-    with error_flag(store, run, "LGA Summary Table Creation Error: "):
+    with error_flag(store, run, 0):
+        reports = store.read("household_reports")
+    with error_flag(store, run, 1):
+        households.check_computed(reports)
+    with error_flag(store, run, 2):
+        rates = households.household_rates(reports)
+    with error_flag(store, run, 3):
+        named = households.with_names(rates, regions, lgas)
+    with error_flag(store, run, 0):
+        detail = store.replace("household_detail", named)
+    store.record(
+        "quality_flags", households.quality_flags(detail, run.run_ts), run.owns("createdat")
+    )
+    with error_flag(store, run, 4):
         store.replace("household_lga", households.lga_means(detail, regions, lgas))
 
 
@@ -219,19 +242,21 @@ class error_flag:
     The flag is written outside the failed job and stays.
     """
 
-    def __init__(self, store: Store, run: Run, prefix: str):
-        self.store, self.run, self.prefix = store, run, prefix
+    def __init__(self, store: Store, run: Run, kind: int):
+        self.store, self.run, self.kind = store, run, kind
 
     def __enter__(self):
         return self
 
     def __exit__(self, kind, error, trace):
         if error is not None:
+            number = run_number(self.run.run_ts) + 50 + self.kind
             flag = self.store.spark.range(1).select(
-                F.lit(0).cast("bigint").alias("id"),
+                F.lit(number).cast("bigint").alias("id"),
                 F.lit("processing_error").alias("error_alert_type"),
-                F.lit(self.prefix + str(error)).alias("description"),
+                F.lit(ERRORS[self.kind] + str(error)).alias("description"),
                 F.lit("").alias("resolution_remarks"),
             )
-            self.store.append("quality_flags", households.flag_columns(flag, self.run.run_ts))
+            rows = households.flag_columns(flag, self.run.run_ts)
+            self.store.record("quality_flags", rows, F.col("id") == number)
         return False

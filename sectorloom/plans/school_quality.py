@@ -12,10 +12,10 @@ from ..functions.indicators import LARGE_SCHOOL, no_toilet_type_known
 from ..functions.periods import within_year
 from ..functions.ratios import percent
 from ..operators.shares import share_of_total
-from ..sources.schemas import QC_LOG, SCHOOL_FACILITIES, conform, names
+from ..sources.schemas import QC_LOG, SCHOOL_FACILITIES, conform, names, run_number
 from .schools import KEY
 
-INLINE_KEYS = 1000
+KEY_TABLE = "qc_keys"
 
 # The checks in the order of the log.
 CHECKS = (
@@ -39,6 +39,14 @@ CHECKS = (
     "percent_improved_sanitation",
     "enrollment_mismatches",
 )
+LISTED = (
+    "unmatched_services_not_in_reports",
+    "unmatched_reports_not_in_services",
+    "missing_region_lga_names",
+    "infra_not_in_combined",
+    "combined_not_in_infra",
+    "enrollment_mismatches",
+)
 
 
 def key_presence(
@@ -218,40 +226,19 @@ def _findings(rows: Mapping[str, Column]) -> Column:
     )
 
 
-def inline_details(keys: DataFrame, limit: int = INLINE_KEYS) -> DataFrame:
-    """Ordered key listings as text, for checks that report at most ``limit`` rows.
+def qc_log(presence: DataFrame, combined: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """The log of one run: a row per check, in the order of :data:`CHECKS`.
 
-    Longer listings stay in the key table; their keys are not gathered here.
+    Of a listing check the log has the number of rows and the name of the table that lists them, whatever their
+    number. Ids are unique over runs: the seconds of the run, then two digits for the check.
     """
-    listed = keys.where(F.col(KEY).isNotNull())
-    short = listed.groupBy("check_name").agg(F.sum("row_count").alias("n"))
-    short = short.where(F.col("n") <= limit).select("check_name")
-    repeated = F.array_repeat(F.col(KEY), F.col("row_count").cast("int"))
-    return (
-        listed.join(F.broadcast(short), "check_name", "left_semi")
-        .groupBy("check_name")
-        .agg(
-            F.array_join(F.array_sort(F.flatten(F.collect_list(repeated))), ", ").alias("listing")
-        )
-    )
-
-
-def qc_log(
-    presence: DataFrame,
-    combined: DataFrame,
-    keys: DataFrame,
-    run_ts: dt.datetime,
-    limit: int = INLINE_KEYS,
-) -> DataFrame:
-    """The log of one run: a row per check, numbered in the order of :data:`CHECKS`."""
     results = presence_results(presence).unionByName(school_results(combined))
     order = F.array_position(F.array(*[F.lit(c) for c in CHECKS]), F.col("check_name"))
     stamp = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
-    logged = results.join(F.broadcast(inline_details(keys, limit)), "check_name", "left")
-    logged = logged.withColumns(
+    logged = results.withColumns(
         {
-            "id": order.cast("bigint"),
-            "details": F.coalesce("details", "listing"),
+            "id": run_number(run_ts) + order.cast("bigint"),
+            "details": F.when(F.col("check_name").isin(*LISTED), KEY_TABLE).otherwise(F.col("details")),
             "log_time": stamp,
         }
     )

@@ -11,8 +11,10 @@ from ..operators.keyed import attach, enforce_key, lookup_join, one_match
 from ..sources.schemas import (
     SCHOOL_COMBINED,
     SCHOOL_FACILITIES,
+    SCHOOL_NOT_COMPUTED,
     SCHOOL_REPORT,
     SCHOOL_SERVICE,
+    actual,
     conform,
     names,
 )
@@ -73,12 +75,12 @@ def school_combined(
         {"region_name": "region_name", "lga_name": "lga_name"},
         spread_by=[KEY],
     )
-    return conform(assess(schools), SCHOOL_COMBINED)
+    return conform(assess(schools), SCHOOL_COMBINED, SCHOOL_NOT_COMPUTED)
 
 
 def _attach(schools: DataFrame, source: DataFrame, take: dict[str, str], ddl: str) -> DataFrame:
     """Left join on the school number; of several rows the latest report counts."""
-    newest = "reportdate" if "reportdate" in source.columns else None
+    newest = "reportdate" if actual(source, "reportdate") else None
     columns = f"{ddl}, reportdate date" if newest else ddl
     return attach(schools, one_match(conform(source, columns), KEY, take, newest), KEY)
 

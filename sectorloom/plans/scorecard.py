@@ -79,10 +79,11 @@ def lga_scorecard(
         (district_year, ("districtcode", "district_code"), ["func_rate_new"], "year_timestamp"),
         (levels, ("lgacode", "lgacode"), ["lga_water_access_level_perc"], None),
     ]
-    few = fits_in_broadcast(lgas, [on[0] for _, on, _, _ in sources])
+    codes = [on[0] for _, on, _, _ in sources]
+    heavy = None if fits_in_broadcast(lgas, codes) else heavy_keys(lgas, codes)
     for source, (code, key), columns, newest in sources:
         one = one_match(source, key, {c: c for c in columns}, newest)
-        card = attach(card, one, code, None if few else heavy_keys(lgas, code), ["lgacode"])
+        card = attach(card, one, code, heavy and heavy[code], ["lgacode"])
     return card.select(
         "lgacode",
         "household_lgacode",

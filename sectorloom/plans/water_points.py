@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.indicators import OPERATING, status_flags
 from ..functions.periods import full_months_before, period_start, year_stamp
 from ..functions.ratios import ratio
-from ..operators.keyed import first_per_key, lookup_join, nulls_last
+from ..operators.keyed import Lookup, first_per_key, lookup_joins, nulls_last
 from ..operators.shares import share_of_total
-from ..sources.schemas import WATER_POINT_REPORT, conform
+from ..sources.schemas import WATER_POINT_OPTIONAL, WATER_POINT_REPORT, conform
 from .lookups import district_labels
 
 YEAR = ("year_timestamp",)
@@ -22,7 +22,7 @@ QUARTER = ("year_timestamp", "quarter_timestamp")
 def status_detail(reports: DataFrame) -> DataFrame:
     """One row per report with period keys and status indicators, without names."""
     status = F.col("functionalitystatus")
-    raw = conform(reports, WATER_POINT_REPORT)
+    raw = conform(reports, WATER_POINT_REPORT, WATER_POINT_OPTIONAL)
     return raw.withColumnRenamed("district", "district_code").select(
         "*",
         year_stamp(F.col("report_year")).alias("year_timestamp"),
@@ -103,17 +103,12 @@ def latest_located(
     latest = first_per_key(in_window, ["dpid"], order)
 
     lookups = [
-        (("region", "region_code"), {"region_name": "region_name"}),
-        (("district_code", "district_code"), {"district_name": "district_name"}),
-        (("lga", "lga_code"), {"lga_name": "lga_name", "geojson": "geojson"}),
+        Lookup(admin, ("region", "region_code"), {"region_name": "region_name"}),
+        Lookup(admin, ("district_code", "district_code"), {"district_name": "district_name"}),
+        Lookup(admin, ("lga", "lga_code"), {"lga_name": "lga_name", "geojson": "geojson"}),
+        Lookup(villages, ("village", "villagecode"), {"village_name": "villagename"}),
     ]
-    named = latest
-    for on, take in lookups:
-        named = lookup_join(named, admin, on, take, ["dpid"])
-    named = lookup_join(
-        named, villages, ("village", "villagecode"), {"village_name": "villagename"}, ["dpid"]
-    )
-    return named.select(
+    return lookup_joins(latest, lookups, ["dpid"]).select(
         "dpid",
         "region_name",
         "district_name",

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 WATER_POINT_REPORT = """
     report_datetime timestamp_ntz, region string, district string, village string, dpid string,
@@ -14,6 +18,12 @@ WATER_POINT_REPORT = """
     createdat timestamp_ntz
 """
 
+# Columns of a water point report that are passed on only; a source without them gives NULL.
+WATER_POINT_OPTIONAL = (
+    "dpname wps dpcode yoc meternumber scheme schemetype servicearea paymenttype organisation"
+    " totalavailablegaps completeness servedbyagency institutioncategoryid institutionareaid quarter createdat"
+).split()
+
 SCHOOL_SERVICE = """
     schoolregnumber string, reportdate date, haselectricity boolean, handwashingfacilities int,
     handwashingtype boolean, watersource string, electricitysource string, sanitarypadsprovided boolean,
@@ -53,6 +63,9 @@ SCHOOL_COMBINED = f"""
     signedsitebook boolean, completioncertificate boolean
 """
 
+# A column of the mart that no rule fills.
+SCHOOL_NOT_COMPUTED = ["teacher_toilet_block"]
+
 QC_LOG = "id bigint, check_name string, result_value string, details string, log_time timestamp_ntz"
 
 QUALITY_FLAGS = """
@@ -71,12 +84,38 @@ def names(schema: str) -> list[str]:
     return [name for name, _ in fields(schema)]
 
 
-def conform(df: DataFrame, schema: str) -> DataFrame:
-    """The declared columns in order and type; a missing one is NULL, an extra one is left out."""
-    present = {c.lower() for c in df.columns}
-    return df.selectExpr(
+class MissingColumns(ValueError):
+    """A table lacks columns that a plan needs."""
+
+    def __init__(self, names: Sequence[str]):
+        super().__init__(f"missing columns: {', '.join(names)}")
+        self.names = list(names)
+
+
+def actual(df: DataFrame, name: str) -> str | None:
+    """The column of ``df`` that ``name`` means under the session's case rule, if there is one."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true":
+        return name if name in df.columns else None
+    return next((c for c in df.columns if c.lower() == name.lower()), None)
+
+
+def conform(df: DataFrame, schema: str, optional: Sequence[str] = ()) -> DataFrame:
+    """The declared columns in order and type; an extra one is left out.
+
+    A missing column that is not ``optional`` raises with its name; an optional one is NULL.
+    """
+    found = {name: actual(df, name) for name in names(schema)}
+    missing = [name for name, own in found.items() if own is None and name not in optional]
+    if missing:
+        raise MissingColumns(missing)
+    return df.select(
         *[
-            f"CAST({name if name in present else 'NULL'} AS {kind}) AS {name}"
+            (F.lit(None) if found[name] is None else F.col(f"`{found[name]}`")).cast(kind).alias(name)
             for name, kind in fields(schema)
         ]
     )
+
+
+def run_number(run_ts: dt.datetime) -> int:
+    """The first id of a run in the log tables: its seconds, then two digits."""
+    return int(run_ts.replace(tzinfo=dt.timezone.utc).timestamp()) * 100

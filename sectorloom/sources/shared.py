@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
+    """The folder named in ``spark.checkpoint.dir``; where that is unset, the session's warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="sectorloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

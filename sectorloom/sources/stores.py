@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW = (
@@ -71,22 +70,31 @@ class Store:
         return [name for name in names if not self.exists(name)]
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Overwrite a table and return it as read back, with its true size."""
-        self._save(self.location(name), self._named(name, df), "overwrite", partition_by)
-        return self.read(name)
+        """Put ``df`` in place of a table in one step and return it as read back, with its true size.
 
-    def append(self, name: str, df: DataFrame) -> None:
-        self._save(self.location(name), self._named(name, df), "append", ())
+        Until the new table is complete, and if anything fails, readers keep the old one.
+        """
+        location = self.location(name)
+        self._publish(self._stage(location, self._named(name, df), partition_by), location)
+        return self.read(name)
 
     def swap(self, name: str, df: DataFrame) -> DataFrame:
-        """Write to a staging name, check it, then publish it under the real name."""
-        stage = self.location(f"{name}_stage")
-        self._save(stage, self._named(name, df), "overwrite", ())
-        if self._load(stage).isEmpty():
+        """As :meth:`replace`, for a table that must not become empty."""
+        location = self.location(name)
+        stage = self._stage(location, self._named(name, df), ())
+        if self._load_stage(stage).isEmpty():
+            self._discard(stage)
             raise EmptyStage(name)
-        self._publish(stage, self.location(name))
+        self._publish(stage, location)
         return self.read(name)
 
+    def record(self, name: str, df: DataFrame, stale: Column) -> DataFrame:
+        """Add rows to a log in place of its ``stale`` ones, so a run that is repeated leaves its rows once."""
+        kept = df
+        if self.exists(name):
+            kept = self.read(name).where(~F.coalesce(stale, F.lit(False))).unionByName(df)
+        return self.replace(name, kept)
+
     def _named(self, name: str, df: DataFrame) -> DataFrame:
         return df.withColumnsRenamed(self.columns.get(name, {}))
 
@@ -99,7 +107,14 @@ class Store:
     def _load(self, location: str) -> DataFrame:
         raise NotImplementedError
 
-    def _save(self, location: str, df: DataFrame, mode: str, partition_by: Sequence[str]) -> None:
+    def _stage(self, location: str, df: DataFrame, partition_by: Sequence[str]) -> str:
+        """Write ``df`` beside ``location`` and return where."""
+        raise NotImplementedError
+
+    def _load_stage(self, stage: str) -> DataFrame:
+        raise NotImplementedError
+
+    def _discard(self, stage: str) -> None:
         raise NotImplementedError
 
     def _publish(self, stage: str, target: str) -> None:
@@ -112,11 +127,11 @@ def layer_of(name: str) -> str:
     return "quality" if name in QUALITY else "marts"
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]):
+def _writer(df: DataFrame, partition_by: Sequence[str]):
     """Partitioned tables are rebalanced first: even files, and a hot partition in several of them."""
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode(mode).format("parquet")
+    writer = df.write.format("parquet")
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
@@ -129,8 +144,7 @@ class TableStore(Store):
         self.tables = dict(tables or {})
 
     def location(self, name: str) -> str:
-        base = name.removesuffix("_stage")
-        return self.tables.get(name, f"{self.databases[layer_of(base)]}.{name}")
+        return self.tables.get(name, f"{self.databases[layer_of(name)]}.{name}")
 
     def _exists(self, location: str) -> bool:
         return self.spark.catalog.tableExists(location)
@@ -138,41 +152,102 @@ class TableStore(Store):
     def _load(self, location: str) -> DataFrame:
         return self.spark.table(location)
 
-    def _save(self, location, df, mode, partition_by):
-        _writer(df, mode, partition_by).saveAsTable(location)
+    def _stage(self, location, df, partition_by):
+        stage = f"{location}__stage"
+        self._discard(stage)
+        _writer(df, partition_by).saveAsTable(stage)
+        return stage
+
+    def _load_stage(self, stage):
+        return self.spark.table(stage)
+
+    def _discard(self, stage):
+        self.spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+    def _publish(self, stage, target):
+        """Move the old table aside, the stage into place, and only then drop the old one."""
+        old = f"{target}__old"
+        if not self._exists(target) and self._exists(old):
+            self._rename(old, target)
+        self._discard(old)
+        had = self._exists(target)
+        if had:
+            self._rename(target, old)
+        try:
+            self._rename(stage, target)
+        except Exception:
+            if had:
+                self._rename(old, target)
+            raise
+        self._discard(old)
 
-    def _publish(self, stage: str, target: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.sql(f"ALTER TABLE {stage} RENAME TO {target}")
+    def _rename(self, table: str, to: str) -> None:
+        self.spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
 
 
 class FolderStore(Store):
-    """Parquet folders under one root, for sessions without a shared catalog."""
+    """Parquet folders under one root, for sessions without a shared catalog.
+
+    A table is a folder of numbered versions. The latest version that Spark has completed is the table, so a
+    failed write changes nothing for readers. The version before is kept for those that are reading it.
+    """
 
     def __init__(self, spark, root: str, **kwargs):
         super().__init__(spark, **kwargs)
         self.root = root.rstrip("/")
 
     def location(self, name: str) -> str:
-        return f"{self.root}/{layer_of(name.removesuffix('_stage'))}/{name}"
+        return f"{self.root}/{layer_of(name)}/{name}"
 
     def _exists(self, location: str) -> bool:
-        try:
-            self._load(location)
-        except AnalysisException:
+        """A folder of plain Parquet files is a table too."""
+        files, path = self._files(location)
+        if not files.exists(path):
             return False
-        return True
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return any(not name.startswith(("_", ".")) for name in names)
 
     def _load(self, location: str) -> DataFrame:
+        versions = self._versions(location)
+        return self._load_stage(f"{location}/{versions[-1]}" if versions else location)
+
+    def _load_stage(self, stage):
         """Marts hold only times without zone, but a partition folder reads back with one."""
-        df = self.spark.read.parquet(location)
-        if location.startswith(f"{self.root}/raw/"):
+        df = self.spark.read.parquet(stage)
+        if stage.startswith(f"{self.root}/raw/"):
             return df
         zoned = [c for c, kind in df.dtypes if kind == "timestamp"]
         return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
-    def _save(self, location, df, mode, partition_by):
-        _writer(df, mode, partition_by).save(location)
-
-    def _publish(self, stage: str, target: str) -> None:
-        self._load(stage).write.mode("overwrite").parquet(target)
+    def _stage(self, location, df, partition_by):
+        """The next version; it counts from the moment Spark marks it as complete, under a hidden name till published."""
+        versions = self._versions(location)
+        number = int(versions[-1][1:]) + 1 if versions else 1
+        stage = f"{location}/_v{number:08d}"
+        self._discard(stage)
+        _writer(df, partition_by).save(stage)
+        return stage
+
+    def _discard(self, stage):
+        files, path = self._files(stage)
+        files.delete(path, True)
+
+    def _publish(self, stage, target):
+        files, path = self._files(stage)
+        final = f"{target}/v{stage.rpartition('/_v')[2]}"
+        if not files.rename(path, self._files(final)[1]):
+            raise OSError(f"{stage} could not be renamed to {final}")
+        for old in self._versions(target)[:-2]:
+            self._discard(f"{target}/{old}")
+
+    def _versions(self, location: str) -> list[str]:
+        files, path = self._files(location)
+        if not files.exists(path):
+            return []
+        found = [status.getPath().getName() for status in files.listStatus(path)]
+        return sorted(name for name in found if name.startswith("v") and name[1:].isdigit())
+
+    def _files(self, location: str):
+        """Hadoop's view of the store that holds ``location``, and the path in it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path

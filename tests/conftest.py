@@ -7,7 +7,10 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from sectorloom.session import builder  # noqa: E402
+from sectorloom.sources.schemas import actual, fields  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -31,6 +34,12 @@ def sf_dir():
     return SMALL
 
 
+def padded(df, schema):
+    """``df`` with the columns of a declared schema that a test does not care about, as NULL."""
+    absent = {n: F.lit(None).cast(kind) for n, kind in fields(schema) if actual(df, n) is None}
+    return df.withColumns(absent)
+
+
 def as_set(df):
     return {tuple(row) for row in df.collect()}
 

@@ -70,10 +70,35 @@ def test_shuffle_spreads_hot_and_missing_keys(spark, facts, lookup, monkeypatch)
     assert max(sizes) < 3000 / 3
 
 
-def test_heavy_keys_are_bounded(facts):
-    heavy = keyed.heavy_keys(facts, "code", limit=3)
-    assert heavy.count() == 3
-    assert ("hot",) in as_set(heavy)
+def test_heavy_keys_are_those_above_an_even_share(spark, facts):
+    reducers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = keyed.heavy_keys(facts, ["code", "id"])
+    assert heavy == {"code": {"hot": -(-reducers * 1000 // 3000)}, "id": {}}
+
+
+def test_more_hot_keys_than_any_fixed_number(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_ROWS", 0)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        facts = spark.range(6000).selectExpr("id", "IF(id % 2 = 0, id, id % 90) % 100 AS code")
+        assert len(keyed.heavy_keys(facts, ["code"])["code"]) > 64
+        names = spark.range(100).selectExpr("id AS code", "'n' || id AS name")
+        joined = keyed.lookup_join(facts, names, ("code", "code"), {"name": "name"}, ["id"])
+        assert joined.where("name = 'n' || code").count() == 6000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_large_lookups_read_the_facts_once(spark, tmp_path, facts, lookup, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_ROWS", 0)
+    facts.write.parquet(str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    for n in (1, 4):
+        lookups = [keyed.Lookup(lookup, ("code", "code"), {f"name{i}": "name"}) for i in range(n)]
+        joined = keyed.lookup_joins(stored, lookups, ["id"])
+        assert plan(joined, "formatted").count("Scan parquet") in (1, 2)  # listed once, and in its details
+        assert joined.count() == 3000
 
 
 def test_lookup_replaces_a_column_of_the_same_name(spark, lookup):
@@ -100,7 +125,7 @@ def test_large_lookup_with_few_keys_is_broadcast(spark, facts, monkeypatch):
 def test_measure_counts_rows_and_bytes(spark):
     df = spark.createDataFrame([("ab", 1), (None, 2)], "s string, n int")
     size = sizing.measure(df)
-    assert size.rows == 2 and size.bytes["s"] == 2
+    assert size.rows == 2 and 2 <= size.bytes <= 100
     assert sizing.fits_in_broadcast(df)
     assert sizing.measure(df.where("false")).rows == 0
 
@@ -132,3 +157,16 @@ def test_enforce_key(spark):
         df = spark.createDataFrame(bad, "k string, n int")
         with pytest.raises(Exception, match="k is repeated or NULL"):
             keyed.enforce_key(df, "k").collect()
+
+
+def test_measure_reads_needed_columns_and_charges_true_widths(spark, tmp_path):
+    rows = spark.range(10).selectExpr(
+        "id AS code", "repeat('x', 1000) AS shape", "array_repeat(7, 1000) AS list",
+        "CAST(repeat('y', 3000) AS BINARY) AS raw",
+    )
+    rows.write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    assert sizing.measure(wide, ["code"]).bytes < 1000
+    assert sizing.measure(wide, ["list"]).bytes >= 10 * 2000
+    assert sizing.measure(wide, ["raw"]).bytes >= 10 * 3000
+    assert sizing.measure(wide, ["CODE", "Shape"]).bytes >= 10 * 1000

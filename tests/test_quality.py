@@ -6,9 +6,9 @@ from collections import Counter
 import pytest
 
 from sectorloom.plans import school_quality as quality
-from sectorloom.sources.schemas import SCHOOL_COMBINED, conform
+from sectorloom.sources.schemas import SCHOOL_COMBINED, SCHOOL_FACILITIES, conform, names, run_number
 
-from .conftest import as_rows, as_set
+from .conftest import as_rows, as_set, padded, plan
 
 RUN = dt.datetime(2024, 7, 1)
 IN, OUT = dt.date(2024, 5, 1), dt.date(2023, 5, 1)
@@ -45,7 +45,7 @@ def combined(spark):
         " separate_latrines_teachers boolean, improved_sanitation_school int,"
         " region_name string, lga_name string",
     )
-    return conform(df, SCHOOL_COMBINED)
+    return conform(df, SCHOOL_COMBINED, names(SCHOOL_COMBINED))
 
 
 def brute_force_lists():
@@ -62,13 +62,13 @@ def brute_force_lists():
 
 
 def test_log(presence, combined):
-    keys = quality.failing_keys(presence, combined)
-    log = quality.qc_log(presence, combined, keys, RUN).collect()
-    assert [r["id"] for r in sorted(log, key=lambda r: r["id"])] == list(range(1, 20))
+    log = quality.qc_log(presence, combined, RUN).collect()
+    first = run_number(RUN)
+    assert [r["id"] for r in sorted(log, key=lambda r: r["id"])] == [first + i for i in range(1, 20)]
     found = {r["check_name"]: (r["result_value"], r["details"]) for r in log}
     for name, listed in brute_force_lists().items():
-        text = ", ".join(sorted(k for k in listed if k)) or None
-        assert found[name] == (str(len(listed)), text), name
+        assert found[name] == (str(len(listed)), quality.KEY_TABLE), name
+    assert set(brute_force_lists()) == set(quality.LISTED)
     assert found["unique_schools_services"] == ("4", None)
     assert found["unique_schools_reports"] == ("4", None)
     assert found["matched_services_reports"] == ("1", None)
@@ -84,7 +84,7 @@ def test_log(presence, combined):
     assert found["percent_improved_sanitation"] == ("25.0", None)
 
 
-def test_keys_are_whole_and_long_lists_are_not_gathered(presence, combined):
+def test_keys_are_whole(presence, combined):
     keys = quality.failing_keys(presence, combined)
     expected = {
         (name, key, n)
@@ -92,19 +92,29 @@ def test_keys_are_whole_and_long_lists_are_not_gathered(presence, combined):
         for key, n in Counter(listed).items()
     }
     assert as_set(keys) == expected
-    short = {r["check_name"] for r in quality.inline_details(keys, limit=2).collect()}
-    long = {name for name, listed in brute_force_lists().items() if len([k for k in listed if k]) > 2}
-    assert long and not short & long
-    log = quality.qc_log(presence, combined, keys, RUN, limit=2).collect()
-    by_name = {r["check_name"]: r for r in log}
-    for name in long:
-        assert by_name[name]["details"] is None
-        assert by_name[name]["result_value"] == str(len(brute_force_lists()[name]))
+
+
+def test_log_is_the_same_shape_for_thousands_of_failing_schools(spark, presence, combined):
+    many = spark.range(2500).selectExpr(
+        "'EM.' || id AS schoolregnumber",
+        *[f"{1 if c == 'combined' else 0}L AS {c}" for c in presence.columns[1:]],
+    )
+    log = quality.qc_log(presence.unionByName(many), combined, RUN).collect()
+    (row,) = [r for r in log if r["check_name"] == "combined_not_in_infra"]
+    listed = brute_force_lists()["combined_not_in_infra"]
+    assert (row["result_value"], row["details"]) == (str(2500 + len(listed)), quality.KEY_TABLE)
+    keys = quality.failing_keys(presence.unionByName(many), combined)
+    assert keys.where("check_name = 'combined_not_in_infra' AND schoolregnumber LIKE 'EM.%'").count() >= 2500
+
+
+def test_log_reads_its_inputs_once(presence, combined):
+    text = plan(quality.qc_log(presence, combined, RUN))
+    assert "BroadcastExchange" not in text and "Join" not in text
 
 
 def test_empty_mart(presence, combined):
     none = combined.where("false")
-    log = quality.qc_log(presence, none, quality.failing_keys(presence, none), RUN)
+    log = quality.qc_log(presence, none, RUN)
     found = {r["check_name"]: (r["result_value"], r["details"]) for r in log.collect()}
     assert len(found) == 19
     assert found["null_watersource_count"] == ("0", None)
@@ -133,7 +143,7 @@ def test_table_counts_and_null_profile(spark):
     b = spark.createDataFrame([(k,) for k in "abcd"], "schoolregnumber string")
     counts = quality.table_counts({"a": a, "b": b, "none": b.where("false")}, 1, 3)
     assert as_rows(counts) == [("a", 3, 1, "ok"), ("b", 4, 4, "high"), ("none", 0, 0, "low")]
-    profile = {r["field"]: tuple(r)[1:] for r in quality.null_profile(a, {"a": a, "b": b}).collect()}
+    profile = {r["field"]: tuple(r)[1:] for r in quality.null_profile(padded(a, SCHOOL_FACILITIES), {"a": a, "b": b}).collect()}
     assert len(profile) == 28
     assert profile["watertanks"] == (1, 4, 25.0)
     assert profile["classroomcount"] == (3, 4, 75.0)

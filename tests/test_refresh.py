@@ -1,15 +1,20 @@
 """Whole refreshes into tables and folders."""
 
+import dataclasses
+import datetime as dt
+
 import pytest
 
 from sectorloom import fixtures
-from sectorloom.plans import refresh
+from sectorloom.plans import refresh, water_points
 from sectorloom.sources import shared
+from sectorloom.sources.schemas import MissingColumns
 from sectorloom.sources.stores import RAW, EmptyStage, FolderStore, TableStore
 
 from .conftest import SMALL, as_rows, as_set
 
-RUN = refresh.Run(fixtures.AS_OF, fixtures.YEAR, fixtures.RUN_TS)
+RUN = refresh.Run(fixtures.AS_OF, fixtures.YEAR, fixtures.RUN_TS, 1, 10_000)
+LATER = dataclasses.replace(RUN, run_ts=fixtures.RUN_TS + dt.timedelta(days=1))
 MARTS = [
     "lga_with_shape",
     "unmatched_lga_names",
@@ -68,8 +73,12 @@ def test_refresh_folders_twice_gives_the_same(spark, inputs, tmp_path):
     assert kinds["month_timestamp"] == "timestamp_ntz"
     refresh.refresh_all(store, RUN)
     assert contents(store, MARTS) == first
-    assert store.read("qc_log").count() == 2 * 19
-    assert store.read("quality_flags").count() == 2 * flags
+    assert store.read("qc_log").count() == 19
+    assert store.read("quality_flags").count() == flags
+    refresh.refresh_all(store, LATER)
+    ids = [r["id"] for r in store.read("qc_log").select("id").collect()]
+    assert len(ids) == len(set(ids)) == 38
+    assert store.read("quality_flags").select("id").distinct().count() == 2 * flags
 
 
 def test_refresh_tables_under_other_names(spark, inputs):
@@ -90,7 +99,7 @@ def test_refresh_tables_under_other_names(spark, inputs):
     assert "rate" in spark.table("t_marts.card").columns
     card = store.read("lga_scorecard")
     assert "func_rate_new" in card.columns and card.count() == inputs["lgas"].count()
-    assert not spark.catalog.tableExists("t_marts.lga_scorecard_stage")
+    assert not any(t.name.endswith(("__stage", "__old")) for t in spark.catalog.listTables("t_marts"))
     refresh.build_scorecard(store, RUN)
     assert store.read("lga_scorecard").count() == inputs["lgas"].count()
 
@@ -113,7 +122,7 @@ def test_failed_build_leaves_a_flag_and_raises(spark, inputs, tmp_path):
         refresh.build_households(store, RUN)
     (flag,) = store.read("quality_flags").collect()
     assert flag["error_alert_type"] == "processing_error"
-    assert flag["description"].startswith("Table Creation Error: ")
+    assert flag["description"].startswith("Derived Fields Computation Error: ")
     assert flag["createdat"] == RUN.run_ts
 
 
@@ -154,3 +163,62 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared.new_folder(spark, "x") != shared.new_folder(spark, "x")
 
 
+
+
+def test_every_kind_of_processing_error(spark, inputs, tmp_path):
+    reports = inputs["household_reports"]
+    bad = {
+        1: {"household_reports": reports.selectExpr("*", "'text' AS totalhouseholds")},
+        2: {"household_reports": reports.drop("toilettypea")},
+        3: {"regions": inputs["regions"].drop("household_regioncode")},
+        4: {},
+    }
+    for kind, changed in bad.items():
+        store = FolderStore(spark, str(tmp_path / str(kind)), inputs={**inputs, **changed})
+        refresh.build_shapes(store, RUN)
+        if kind == 4:
+            save = store.replace
+            store.replace = lambda name, df, *a, **k: 1 / 0 if name == "household_lga" else save(name, df, *a, **k)
+        for _ in range(2):
+            with pytest.raises(Exception):
+                refresh.build_households(store, RUN)
+        found = [r["description"] for r in store.read("quality_flags").collect() if r["error_alert_type"] == "processing_error"]
+        assert len(found) == 1 and found[0].startswith(refresh.ERRORS[kind]), (kind, found)
+
+
+def test_a_failing_publish_keeps_the_old_mart(spark, tmp_path, monkeypatch):
+    folder = FolderStore(spark, str(tmp_path))
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_swap")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_dash")
+    tables = TableStore(
+        spark, {"raw": "t_swap", "marts": "t_swap", "quality": "t_swap"}, tables={"lga_scorecard": "t_dash.card"}
+    )
+    broken = spark.range(5).selectExpr("IF(id = 4, CAST(raise_error('broken') AS BIGINT), id) AS id")
+    for store in (folder, tables):
+        store.swap("lga_scorecard", spark.range(3).toDF("id"))
+        store.swap("lga_scorecard", spark.range(4).toDF("id"))
+        assert store.read("lga_scorecard").count() == 4
+        for publish in (store.swap, store.replace):
+            with pytest.raises(Exception, match="broken"):
+                publish("lga_scorecard", broken)
+            assert store.read("lga_scorecard").count() == 4
+    rename = tables._rename
+    monkeypatch.setattr(
+        tables, "_rename", lambda a, b: rename(a, b) if "__stage" not in a else 1 / 0
+    )
+    with pytest.raises(ZeroDivisionError):
+        tables.replace("lga_scorecard", spark.range(9).toDF("id"))
+    assert tables.read("lga_scorecard").count() == 4
+
+
+def test_a_missing_column_is_named(spark, inputs):
+    with pytest.raises(MissingColumns, match="functionalitystatus"):
+        water_points.status_detail(inputs["water_point_reports"].drop("functionalitystatus"))
+    upper = inputs["water_point_reports"]
+    upper = upper.toDF(*[c.upper() for c in upper.columns])
+    assert water_points.status_detail(upper).columns[0] == "report_datetime"
+
+
+def test_thresholds_have_no_default_from_join_limits():
+    with pytest.raises(TypeError):
+        refresh.Run(fixtures.AS_OF, fixtures.YEAR, fixtures.RUN_TS)

@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from sectorloom.functions import indicators as ind
 from sectorloom.functions import periods, ratios
 from sectorloom.plans import coverage, households, schools, scorecard, water_points
+from sectorloom.sources.schemas import (
+    SCHOOL_FACILITIES,
+    SCHOOL_REPORT,
+    SCHOOL_SERVICE,
+    WATER_POINT_REPORT,
+)
 
-from .conftest import as_rows, as_set
+from .conftest import as_rows, as_set, padded
 
 
 def values(df, column):
@@ -94,7 +100,7 @@ def test_yearly_rate_is_a_percentage_and_quarterly_a_fraction(spark):
         [("R1", "North", "D1", "One")],
         "region_code string, region_name string, district_code string, district_name string",
     )
-    detail = water_points.status_detail(reports)
+    detail = water_points.status_detail(padded(reports, WATER_POINT_REPORT))
     yearly = {r["district_code"]: r for r in water_points.district_rates(detail, admin).collect()}
     assert yearly["D1"]["func_rate_new"] == 50.0
     assert yearly["D1"]["region_name"] == "North"
@@ -251,10 +257,10 @@ def test_coverage_date_is_taken_before_the_filter(spark):
 
 def school(spark, **columns):
     """One school row with the given columns; the rest NULL, as after the joins."""
-    from sectorloom.sources.schemas import SCHOOL_COMBINED, conform
+    from sectorloom.sources.schemas import SCHOOL_COMBINED, conform, names
 
     df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in columns.items()])
-    return schools.assess(conform(df, SCHOOL_COMBINED)).first()
+    return schools.assess(conform(df, SCHOOL_COMBINED, names(SCHOOL_COMBINED))).first()
 
 
 @pytest.mark.parametrize(
@@ -398,6 +404,8 @@ def test_school_sources_with_several_years_and_duplicates(spark):
         [("S.1", "12", "x", None), ("S.9", "1", "1", "2")],
         "schoolregnumber string, totalgirls string, totalboys string, totalpupils string",
     )
+    services, reports = padded(services, SCHOOL_SERVICE), padded(reports, SCHOOL_REPORT)
+    infrastructure = padded(infrastructure, SCHOOL_FACILITIES)
     admin = spark.createDataFrame(
         [("L2", "North", "Two")], "school_lgacode string, region_name string, lga_name string"
     )
@@ -413,3 +421,26 @@ def test_school_sources_with_several_years_and_duplicates(spark):
     twice = services.unionAll(services)
     with pytest.raises(Exception, match="schoolregnumber is repeated"):
         schools.school_combined(twice, reports, infrastructure, enrollment, admin, 2024).collect()
+
+
+def test_latest_report_is_found_whatever_the_case_of_its_name(spark):
+    services = padded(
+        spark.createDataFrame([("S.1", dt.date(2024, 1, 1))], "schoolregnumber string, reportdate date"), SCHOOL_SERVICE
+    )
+    reports = spark.createDataFrame(
+        [("S.1", "A", dt.date(2022, 1, 1)), ("S.1", "Z", dt.date(2024, 1, 1))],
+        "schoolregnumber string, lgacode string, ReportDate date",
+    )
+    infrastructure = padded(services.select("schoolregnumber", "reportdate"), SCHOOL_FACILITIES)
+    enrollment = services.selectExpr("schoolregnumber", "1 AS totalpupils", "1 AS totalgirls", "0 AS totalboys")
+    admin = spark.createDataFrame([("Z", "N", "L")], "School_LgaCode string, region_name string, lga_name string")
+    combined = schools.school_combined(
+        services, padded(reports, SCHOOL_REPORT), infrastructure, enrollment, admin, 2024
+    )
+    assert [(r["lga_code"], r["lga_name"]) for r in combined.collect()] == [("Z", "L")]
+
+
+def test_year_text_may_go_on(spark):
+    df = spark.createDataFrame([("2023/24",), (" 2021",), ("24",), ("20234",), ("x",)], "y string")
+    years = [r[0] and r[0].year for r in df.select(periods.year_stamp(F.col("y"))).collect()]
+    assert years == [2023, 2021, None, None, None]
