@@ -273,6 +273,21 @@ def _refreshed_scorecard(data: Inputs) -> DataFrame:
     return rounded(store.read("lga_scorecard"), SCORECARD_MEANS)
 
 
+def _refreshed_qc_log(data: Inputs) -> DataFrame:
+    """The log after the same run has refreshed the schools twice."""
+    store = FolderStore(
+        data.spark,
+        new_folder(data.spark, "marts"),
+        inputs={name: getattr(data, name) for name in RAW},
+    )
+    until_schools = [step for step in refresh.STEPS if step.name in ("shapes", "admin lookup", "schools")]
+    for _ in range(2):
+        refresh.refresh_all(
+            store, refresh.Run(AS_OF, YEAR, RUN_TS, LOW_ROWS, HIGH_ROWS), until_schools
+        )
+    return store.read("qc_log")
+
+
 def _wkt_features(data: Inputs) -> DataFrame:
     return features.to_feature(data.lga_boundaries, "wkt")
 
@@ -343,6 +358,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "service_level_lga": _service_level_lga,
     "lga_scorecard": _lga_scorecard,
     "refreshed_scorecard": _refreshed_scorecard,
+    "refreshed_qc_log": _refreshed_qc_log,
     "wkt_features": _wkt_features,
     "wkt_errors": _wkt_errors,
     "monthly_metric": _monthly_metric,

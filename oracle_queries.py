@@ -599,6 +599,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "school_combined": with_parts("SELECT * FROM schools", "schools"),
         "school_qc_log": qc_log(),
+        "refreshed_qc_log": qc_log(),
         "school_qc_keys": with_parts(
             """SELECT check_name, schoolregnumber, count(*) AS row_count FROM qc_lists
                GROUP BY 1, 2""",
