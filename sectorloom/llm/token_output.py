@@ -13,6 +13,7 @@ number of ids of each, the words, and the block offsets.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import cache
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import slices
 from .pieces import PieceEncoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -128,6 +129,7 @@ def unpack(words: np.ndarray, blocks: np.ndarray, n: int, block: int = BLOCK) ->
 @cache
 def _encoder(path: str) -> PieceEncoder:
     """One per Python worker. Each match of the tokenizer's own pattern is encoded by the tokenizer."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -151,7 +153,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for run in slices(batch, "text", SEGMENT_BYTES):
-                ids, counts = _encoder(path).encode(texts_of(run))
+                ids, counts = _encoder(path).encode(run.column("text"))
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.uint64)
                 counts = counts + 1
                 words, blocks = pack(ids)
@@ -181,8 +183,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the files; ``start`` counts the ids of all before it.
 
-    ``ids`` are little-endian unsigned 32-bit integers. Only the totals of the parts, one row each, are summed in
-    one task.
+    ``ids`` are little-endian unsigned 32-bit integers. Only the totals of the parts, one row for each
+    task that wrote, are summed in one task and sent to all.
     """
     segments = spark.read.schema(SEGMENTS).parquet(folder)
     own = F.aggregate("counts", F.lit(0).cast("bigint"), lambda total, n: total + n)
@@ -215,7 +217,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 )
 
     return (
-        segments.join(bases, F.col("part") == F.col("__part"))
+        segments.join(F.broadcast(bases), F.col("part") == F.col("__part"))
         .drop("part", "__part")
         .mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
     )
