@@ -24,7 +24,7 @@ from .common import by_slices
 from .pieces import PieceEncoder
 
 RANKS = "byte_bpe_50k.tiktoken"
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 60_000
 WORD_BYTES_AT_ONCE = 1 << 20
 
 _CONTRACT = """
@@ -161,7 +161,7 @@ def encode_column(path: str | None = None, pattern: str = public_tokenizers.PATT
     path = path or public_tokenizers.path(RANKS)
 
     def encode(column: pa.Array) -> pa.Array:
-        return binary(*encoder(path, pattern).encode([text or "" for text in column.to_pylist()]))
+        return binary(*encoder(path, pattern).encode(column))
 
     return F.arrow_udf(lambda texts: by_slices(encode, texts), "binary")
 
