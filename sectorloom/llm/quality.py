@@ -8,8 +8,8 @@ and repeated words, and length. The model is a table of fixed size, found by a h
 word that was never seen has no weight.
 
 The model is fitted on at most ``SAMPLE`` labelled documents, those of the smallest hashes of doc_id. A feature
-counts if at least ``MIN_DOCS`` of them have it and their mean grade is ``LEAST_Z`` standard errors from that of all,
-for at most ``MAX_FEATURES`` features; else the many indifferent words of a long text would outweigh the few that
+counts if at least ``MIN_DOCS`` of them have it and some grade is ``LEAST_Z`` standard errors from its share in all, for
+at most ``MAX_FEATURES`` features; else the many indifferent words of a long text would outweigh the few that
 matter. These bounds hold what reaches the driver. Every document is scored in full.
 """
 
@@ -135,12 +135,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: in
         .mapInArrow(extract, "grade int, features array<bigint>"),
         "ratings",
     )
-    mean, spread = examples.agg(F.avg("grade"), F.stddev_pop("grade")).first()
-    score = F.abs(F.avg("grade") - (mean or 0)) * F.sqrt(F.count("*")) / ((spread or 0) + 1e-9)
+    shares = dict(examples.groupBy("grade").count().collect())
+    rows = sum(shares.values())
+    surprise = [F.lit(0.0)]
+    for g in shares:
+        p = min(max(shares[g] / rows, 1e-3), 1 - 1e-3)
+        surprise.append(F.abs(F.count_if(F.col("grade") == g) - F.count("*") * p) / F.sqrt(F.count("*") * p * (1 - p)))
     counts = (
         examples.select("grade", F.explode("features").alias("feature"))
         .groupBy("feature")
-        .agg(F.count("*").alias("n"), score.alias("z"))
+        .agg(F.count("*").alias("n"), F.greatest(*surprise, F.lit(0.0)).alias("z"))
         .where((F.col("n") >= min_docs) & (F.col("z") >= LEAST_Z))
         .orderBy(F.desc("z"), "feature")
         .limit(MAX_FEATURES)
