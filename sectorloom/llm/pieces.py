@@ -24,8 +24,8 @@ _MARKS = frozenset(".,;:!?")
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _RUN_BYTES = 1 << 19
 _SLOTS = 1 << 22
-MAX_PIECES = 2_000_000
-MAX_IDS = 16_000_000
+MAX_PIECES = 1_200_000
+MAX_IDS = 10_000_000
 
 
 @cache
