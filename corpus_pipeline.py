@@ -14,8 +14,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with a score of at least 0.3; texts without letters go."""
-    return lang_id.select(docs, least=0.3)
+    """Documents whose language is known with a score of at least 0.1; texts without letters go."""
+    return lang_id.select(docs, least=0.1)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

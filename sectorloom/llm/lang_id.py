@@ -5,8 +5,9 @@ lookup of an n-gram is the AND of its slots and gives all languages that contain
 language is the population count of its bit over all n-grams, corrected for the false positives that the
 filter of that language is expected to give. The largest count decides.
 
-The filters are built from at most ``sample`` documents per language, those of the smallest hashes of doc_id, and
-hold at most ``max_grams`` n-grams each, which bounds what reaches the driver. Prediction reads whole texts.
+The filters are built from about ``sample`` documents per language, drawn by a hash of doc_id while the table is
+scanned, so no text is shuffled. They hold at most ``max_grams`` n-grams each, which bounds what reaches the driver;
+one number per language is sent back to the scan. Prediction reads whole texts.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ SLOTS = 1 << 20
 PROBES = 3
 PLANE = 8
 UNKNOWN = "und"
+SEED = 5
 
 
 @dataclass
@@ -83,12 +85,12 @@ def train(docs: DataFrame, sample: int = SAMPLE, max_grams: int = MAX_GRAMS) ->
     Without such documents there are no languages.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    chosen = (
-        known.select("doc_id", "lang", "text")
-        .withColumn("__nth", F.row_number().over(first))
-        .where(F.col("__nth") <= sample)
+    sizes = dict(known.groupBy("lang").count().collect())
+    shares = docs.sparkSession.createDataFrame(
+        [(name, min(1.0, sample / n)) for name, n in sizes.items()], "lang string, __share double"
     )
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) / (1 << 30)
+    chosen = known.join(F.broadcast(shares), "lang").where(draw < F.col("__share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +123,6 @@ def train(docs: DataFrame, sample: int = SAMPLE, max_grams: int = MAX_GRAMS) ->
         .agg(F.collect_list("gram").alias("grams"))
         .collect()
     )
-    sizes = dict(known.groupBy("lang").count().collect())
     grams_of = {row["lang"]: np.array(row["grams"], np.int64).view(np.uint64) for row in members}
     return build(grams_of, sorted(sizes, key=lambda name: (-sizes[name], name)))
 
