@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialised(df: DataFrame, purpose: str) -> DataFrame:
+def materialised(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df`` written below the shared folder and read back: a lost executor costs no recomputation."""
     folder = new_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -226,3 +226,38 @@ def test_queries_equal_their_sql(spark, name):
     import check_oracle
 
     assert check_oracle.compare(queries.QUERIES[name](spark, SMALL), check_oracle.oracle(SMALL), name) is None
+
+
+@pytest.mark.parametrize("run_bytes", [2000, 4 << 20])
+def test_weights_are_exact_at_any_size(spark, monkeypatch, run_bytes):
+    """Texts of a common passage and a tail of their own; counters that all shingles share would link them."""
+    monkeypatch.setattr(near_dup, "WIDTH", 64)
+    monkeypatch.setattr(near_dup, "RUN_BYTES", run_bytes)
+    monkeypatch.setattr(near_dup, "BUCKET_SHINGLES", 2)
+    texts = [f"{prose(31, 104)} " + " ".join(f"t{i}x{k}" for k in range(9)) for i in range(40)]
+    texts += [texts[0], None, texts[1].replace("t1x8", "other"), "a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    held = Counter(shingle for text in texts for shingle in bag(word_list(text)))
+    n = len(texts)
+    bags = [bag(word_list(t), lambda s: 1 + near_dup.SPAN * np.log(n / held[tuple(s)]) / np.log(n)) for t in texts]
+    linked = {(i, j) for j in range(n) for i in range(j) if texts[i] == texts[j] or jaccard(bags[i], bags[j]) >= 0.8}
+    assert linked == {(0, 40), (1, 42)}
+    got = near_dup.classes(df).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in got} == {
+        **{i: (i, 1) for i in range(n)}, 0: (0, 2), 40: (0, 2), 1: (1, 2), 42: (1, 2)
+    }
+
+
+def test_exact_frequencies(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "RUN_BYTES", 1500)
+    texts = [prose(i % 5, 30 + i) for i in range(40)] + [None, "", "..", "one"]
+    runs = near_dup._runs(spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string").repartition(4))
+    rows = runs.collect()
+    assert len(rows) > 4 and sum(r["size"] for r in rows) == len(texts)
+    held = Counter(h for t in texts for h in near_dup.weighted(pa.array([t], pa.string()))[1].tolist())
+    answers = {}
+    for r in near_dup.exact_frequencies(runs, 9).collect():
+        answers.setdefault(r.run, []).append((r.bucket, np.frombuffer(r.frequencies, "<u4").tolist()))
+    for r in rows:
+        asked = np.unique(near_dup.weighted(pa.array(r.texts, pa.string()))[1]).tolist()
+        assert [held[h] for h in asked] == [n for _, own in sorted(answers.get(r.run, [])) for n in own]
