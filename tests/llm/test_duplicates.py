@@ -261,3 +261,26 @@ def test_exact_frequencies(spark, monkeypatch):
     for r in rows:
         asked = np.unique(near_dup.weighted(pa.array(r.texts, pa.string()))[1]).tolist()
         assert [held[h] for h in asked] == [n for _, own in sorted(answers.get(r.run, [])) for n in own]
+
+
+def test_classes_without_ids_and_with_repeated_ids(spark):
+    near = prose(5, 200)
+    rows = [(None, "no id at all"), (None, "another one without"), (7, prose(1, 60)), (7, prose(2, 60)), (7, prose(1, 60))]
+    rows += [(8, near), (None, near.replace(near.split()[100], "changed")), (9, near), (None, None), (7, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, class_node string")
+    got = near_dup.classes(df).collect()
+    assert len(got) == len(rows)
+    members = {}
+    for r in got:
+        members.setdefault(r.class_node, []).append(r)
+    assert sorted(len(own) for own in members.values()) == [1, 1, 1, 2, 2, 3]
+    for own in members.values():
+        assert {r.class_size for r in own} == {len(own)} and min(r.node for r in own) == own[0].class_node
+        assert {r.class_id for r in own} == {min((r.doc_id for r in own if r.doc_id is not None), default=None)}
+    kept = near_dup.deduplicated(df)
+    assert kept.columns == df.columns
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert [r[1] for r in left if r[0] is None] == ["another one without", "no id at all"]
+    assert sorted((r for r in left if r[0] is not None), key=repr) == sorted(
+        [(7, None), (7, prose(1, 60)), (7, prose(2, 60)), (8, near)], key=repr
+    )
