@@ -14,12 +14,14 @@ number of ids of each, the words, and the block offsets.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -127,18 +129,43 @@ def unpack(words: np.ndarray, blocks: np.ndarray, n: int, block: int = BLOCK) ->
 
 
 @cache
-def _encoder(path: str) -> PieceEncoder:
-    """One per Python worker. Each match of the tokenizer's own pattern is encoded by the tokenizer."""
+def _encoder(path: str) -> tuple[PieceEncoder, dict[str, int], re.Pattern]:
+    """One per Python worker, with the tokenizer's added tokens. Each match of its own pattern is encoded by it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = {}
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        if token.lstrip or token.rstrip or token.single_word or token.normalized:
+            raise ValueError(f"added token {token.content!r} of {path} is not matched literally")
+        added[token.content] = number
+    longest_first = sorted(added, key=len, reverse=True)
 
     def encode_words(words: list[str]) -> list[list[int]]:
         return [found.ids for found in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    return PieceEncoder(encode_words, public_tokenizers.PATTERN)
+    pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+    return PieceEncoder(encode_words, public_tokenizers.PATTERN), added, pattern
+
+
+def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the tokenizer's own ``encode`` of every whole text, one after the other, and how many each has.
+
+    A text is cut at the added tokens in it, as the tokenizer does; these have an id of their own, and only the
+    stretches between them go to the pieces.
+    """
+    pieces, added, pattern = _encoder(path)
+    if not any(pc.any(pc.match_substring(column, content)).as_py() for content in added):
+        return pieces.encode(column)
+    cut = [pattern.split(text or "") for text in column.to_pylist()]
+    ids, counts = pieces.encode(pa.array([stretch for own in cut for stretch in own[::2]], pa.string()))
+    ends = np.cumsum([len(own) // 2 + 1 for own in cut])
+    followed = np.ones(len(counts), np.int64)
+    followed[ends - 1] = 0
+    found = np.array([added[token] for own in cut for token in own[1::2]], ids.dtype)
+    ids = np.insert(ids, np.cumsum(counts)[followed > 0], found)
+    return ids, np.add.reduceat(counts + followed, np.concatenate([[0], ends[:-1]]))
 
 
 def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> None:
@@ -153,7 +180,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             for run in slices(batch, "text", SEGMENT_BYTES):
-                ids, counts = _encoder(path).encode(run.column("text"))
+                ids, counts = encode(run.column("text"), path)
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.uint64)
                 counts = counts + 1
                 words, blocks = pack(ids)

@@ -131,3 +131,29 @@ def test_shards_match_the_mixture(spark):
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 1
     hot = [r["count"] for r in placed.where("source = 'hot'").groupBy("shard").count().collect()]
     assert max(hot) - min(hot) <= 1
+
+
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", "kato", " b", "é", "7"]), max_size=9), max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_added_tokens_equal_the_unmodified_library(drawn):
+    path = public_tokenizers.path(token_output.TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["".join(own) for own in drawn] + ["a<|endoftext|>b", "", "plain text", "<|endoftext|><|endoftext|>"]
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert expected[-4] == [64, 50256, 65]
+    ids, counts = token_output.encode(pa.array([*texts, None]), path)
+    assert ids.tolist() == [i for own in expected for i in own]
+    assert counts.tolist() == [*map(len, expected), 0]
+
+
+def test_added_tokens_in_files(spark):
+    texts = ["a<|endoftext|>b", None, "x \n<|endoftext|>", "later"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_output.TOKENIZER))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    start, expected = 0, []
+    for doc_id, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = token_output.listing(docs, new_folder(spark, "t")).collect()
+    assert sorted(map(tuple, got)) == expected
