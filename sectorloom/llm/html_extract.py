@@ -27,7 +27,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr img".split()
 )
-UNREAD = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|title|head"
+# Unread elements: those of raw text last to the end of the page if they are not closed, of others only the tag is left out.
+RAW = "script|style|textarea|title"
+UNREAD = "noscript|template|svg|math|iframe|object|canvas|select"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr p li dt dd tr td th".split())
 FURNITURE = frozenset("nav header footer aside form menu button dialog fieldset".split())
 NAMED = re.compile(
@@ -39,7 +41,7 @@ NAMED = re.compile(
 MAIN = frozenset(["article", "main"])
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<unread>{UNREAD})\b[^>]*>.*?(?:</(?P=unread)\s*>|\Z)|"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))|<(?P<unread>{UNREAD})(?=[\s/>])[^>]*>|"
     r"<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
@@ -157,6 +159,19 @@ class Block:
         return self.linked / self.words
 
 
+def _closed(page: str, name: str) -> dict[int, int]:
+    """Where each closed element of this name ends, by where it begins; elements may be nested."""
+    found, begun = {}, []
+    for tag in re.finditer(rf"(?i)<!--(?s:.*?)(?:-->|\Z)|<(?P<close>/?){name}(?=[\s/>])[^>]*>", page):
+        if tag["close"] is None or tag[0].endswith("/>"):
+            continue
+        if not tag["close"]:
+            begun.append(tag.start())
+        elif begun:
+            found[begun.pop()] = tag.end()
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     found: list[Block] = []
@@ -164,6 +179,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, bool, bool]] = []
     furniture = in_main = False
     links = at = 0
+    closed: dict[str, dict[int, int]] = {}
 
     def close() -> None:
         text = html.unescape("".join(piece for piece, _ in pieces)).split()
@@ -172,13 +188,18 @@ def blocks(page: str) -> list[Block]:
             found.append(Block(" ".join(text), len(text), min(linked, len(text)), furniture, in_main))
         pieces.clear()
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
             pieces.append((page[at : token.start()], links > 0))
         at = token.end()
         name = (token["name"] or "").lower()
         if not name:
             if token["unread"]:
+                unread = token["unread"].lower()
+                if unread not in closed:
+                    closed[unread] = _closed(page, unread)
+                at = closed[unread].get(token.start(), at)
+            if token["unread"] or token["raw"]:
                 pieces.append((" ", False))
             continue
         if name == "a":
@@ -229,7 +250,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A null or empty html, or one without main text, gives an empty text. White space inside a block is one space,
     and blocks are joined by one. Repeated rows keep one result each; no rows give none; other columns are ignored.
-    Unclosed elements last to the end of the one around them.
+    Unclosed elements last to the end of the one around them, those of raw text and comments to the end of the page.
+    A tag that ends in ``/>`` is an empty element.
     """
     texts = F.arrow_udf(
         lambda column: by_slices(

@@ -166,3 +166,17 @@ def test_batches_of_any_size_are_cut_at_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * n for n in (0, 5, 900, 1, 2000, 3)] + [None])], ["text"])
     parts = [p.num_rows for p in slices(batch, "text", 500)]
     assert sum(parts) == 7 and list(itertools.accumulate(parts))[-1] == 7
+
+
+@pytest.mark.parametrize("open_", ["<svg class=i/>", "<math x='1'/>", "<svg>", "<iframe src=a>", "<object>", "<svg><svg></svg>", "<script src=a />", "<SELECT>", "<title-bar>"])
+def test_unread_elements_without_end_swallow_nothing(open_):
+    body = f"<article><p>real text</p>{open_}<p>more of it</p><svg><text>no</text></svg> end</article>"
+    assert html_extract.main_text(f"<html><head><title>t</title><body>{body}") == "real text more of it end"
+    assert html_extract.main_text(f"<html><body>{body}</body></html>") == "real text more of it end"
+
+
+def test_unread_elements_are_left_out():
+    inside = "<svg><svg>a</svg>b<!-- </svg> --></svg><noscript>c</noscript><Select><option>d</select ><script>'<svg>'</script>"
+    assert html_extract.main_text(f"<article><p>x {inside} y</p><style>p") == "x y"
+    many = "<object>" * 20_000
+    assert html_extract.main_text(f"<article>x {many} y</article>") == "x y"
