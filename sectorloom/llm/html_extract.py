@@ -3,7 +3,7 @@
 A page is read once into a flat list of text blocks, cut at block-level tags. A block knows its number of words,
 the share of them inside links, both for the block before and after it, whether it stands in a part of the page
 that is named as furniture (navigation, header, footer, sidebar, advert, form, comments), whether it stands in
-the article element, and whether the page has one. A decision tree, grown from a small labelled table of blocks,
+the article element, where furniture starts afresh unless the article is itself in a nav, aside or footer element, and whether the page has one. A decision tree, grown from a small labelled table of blocks,
 decides which are main text.
 """
 
@@ -38,7 +38,11 @@ NAMED = re.compile(
     r"respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|popup|modal|pagination|"
     r"copyright|legal|disclaimer|tags?|byline|toolbar)(?:$|[\s_-])"
 )
+# A class, id or role is one of these words or has one as a part, unless its first part says that it describes the layout.
+MODIFIER = re.compile(r"(?i)(?:with|without|has|have|no|not|is|hide|show|supports)[_-]")
 MAIN = frozenset(["article", "main"])
+# Elements whose articles are furniture too.
+APART = frozenset(["nav", "aside", "footer"])
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))|<(?P<unread>{UNREAD})(?=[\s/>])[^>]*>|"
@@ -159,6 +163,11 @@ class Block:
         return self.linked / self.words
 
 
+def _named(rest: str) -> bool:
+    values = " ".join(value.strip("\"'") for value in _NAMES.findall(rest)).split()
+    return any(NAMED.search(value) and not MODIFIER.match(value) for value in values)
+
+
 def _closed(page: str, name: str) -> dict[int, int]:
     """Where each closed element of this name ends, by where it begins; elements may be nested."""
     found, begun = {}, []
@@ -176,8 +185,8 @@ def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     found: list[Block] = []
     pieces: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []
-    furniture = in_main = False
+    stack: list[tuple[str, bool, bool, bool]] = []
+    furniture = in_main = apart = False
     links = at = 0
     closed: dict[str, dict[int, int]] = {}
 
@@ -214,15 +223,17 @@ def blocks(page: str) -> list[Block]:
             if any(entry[0] == name for entry in stack):
                 while stack and stack.pop()[0] != name:
                     pass
-                furniture, in_main = stack[-1][1:] if stack else (False, False)
+                furniture, in_main, apart = stack[-1][1:] if stack else (False, False, False)
         elif not token["rest"].endswith("/"):
-            named = any(NAMED.search(value.strip("\"'")) for value in _NAMES.findall(token["rest"]))
             if name in MAIN:
-                named = False
-            if name not in ("html", "body"):
-                furniture = furniture or name in FURNITURE or named
+                # Furniture starts afresh: what is around the outermost one is the layout of the page.
+                if not in_main and not apart:
+                    furniture = False
+            elif name not in ("html", "body"):
+                furniture = furniture or name in FURNITURE or _named(token["rest"])
             in_main = in_main or name in MAIN
-            stack.append((name, furniture, in_main))
+            apart = apart or name in APART
+            stack.append((name, furniture, in_main, apart))
     if at < len(page):
         pieces.append((page[at:], links > 0))
     close()

@@ -180,3 +180,27 @@ def test_unread_elements_are_left_out():
     assert html_extract.main_text(f"<article><p>x {inside} y</p><style>p") == "x y"
     many = "<object>" * 20_000
     assert html_extract.main_text(f"<article>x {many} y</article>") == "x y"
+
+
+@pytest.mark.parametrize(
+    "open_, close",
+    [
+        ("<div class='layout with-sidebar'>", "</div>"),
+        ("<div id=page class='site has-header-image'>", "</div>"),
+        ("<form id=f>", "</form>"),
+        ("<div class='sidebar-left'><form>", "</form></div>"),
+    ],
+)
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_article_in_a_wrapper_named_like_furniture(open_, close, name):
+    inside = "<p>real text</p><div class='ad'>buy</div><section class=comments><article>says</article></section><p>ends</p>"
+    page = f"<body>{open_}<nav>menu</nav><{name}>{inside}</{name}><aside><article>teaser</article></aside>{close}</body>"
+    assert html_extract.main_text(page) == "real text ends"
+
+
+def test_layout_modifiers_are_no_furniture():
+    prose = ("a sentence of some length that goes on for quite a while, as prose does. " * 4).strip()
+    page = "<div class='layout {}'><p>" + prose + "</p></div><div class='site-footer'><p>" + prose + "</p></div>"
+    for name in ("with-sidebar", "has-header-image", "no_menu"):
+        assert html_extract.main_text(page.format(name)) == prose
+    assert html_extract.main_text(page.format("side-bar")) == ""
