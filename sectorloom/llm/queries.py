@@ -8,10 +8,13 @@ from ..sources.shared import new_folder
 from . import (
     bpe,
     decontaminate,
+    fingerprints,
     html_extract,
     lang_id,
+    lexical,
     near_dup,
     quality,
+    resampling,
     sharding,
     token_output,
     url_filter,
@@ -62,6 +65,18 @@ def op10_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simple8b": op1_simple8b,
     "op2_redirect_equivalence": op2_redirect_equivalence,
@@ -73,6 +88,9 @@ QUERIES = {
     "op8_stratified_interleaving": op8_stratified_interleaving,
     "op9_weighted_sampling": op9_weighted_sampling,
     "op10_simhash_windows": op10_simhash_windows,
+    "op11_one_permutation": op11_one_permutation,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_presence_masks": op13_presence_masks,
 }
 
 # The checksum polynomial of CRC-32, reflected.
@@ -90,6 +108,9 @@ _CRC32_OF_TEXT = """
         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])
     ))::BIGINT"""
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
 _PAGE_RULES = """(VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
     ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/'))
     rules(action, rule_host, rule_path)"""
@@ -157,4 +178,77 @@ ORACLE = {
     SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (place * 8 // total)::INT AS shard,
         (place - (place * 8 // total * total + 7) // 8)::BIGINT AS slot, NULL::INT AS grown_shard
     FROM placed""",
+    "op12_importance_resampling": f"""
+    WITH {_CRC32},
+    texts AS (
+        SELECT 0 AS target, doc_id, text, row_number() OVER () AS r FROM documents
+        UNION ALL SELECT 1, item_id, text, row_number() OVER () FROM benchmark
+    ),
+    words AS (
+        SELECT target, doc_id, r, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM texts
+    ),
+    features AS (
+        SELECT target, r, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))],
+            [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) AS f
+        FROM words
+    ),
+    counted AS (SELECT target, r, f, count(*) AS n FROM features GROUP BY ALL),
+    distinct_features AS (SELECT f, hex(encode(f)) AS hex FROM (SELECT DISTINCT f FROM counted)),
+    buckets AS (SELECT f, {_CRC32_OF_TEXT} % 10000 AS bucket FROM distinct_features, crc_table),
+    per_bucket AS (
+        SELECT bucket, coalesce(sum(n) FILTER (target = 0), 0)::BIGINT AS s,
+            coalesce(sum(n) FILTER (target = 1), 0)::BIGINT AS t
+        FROM counted JOIN buckets USING (f) GROUP BY bucket
+    ),
+    totals AS (SELECT sum(s)::BIGINT AS all_s, sum(t)::BIGINT AS all_t FROM per_bucket),
+    gains AS (
+        SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE
+            / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM per_bucket, totals
+    ),
+    weights AS (
+        SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+        FROM counted JOIN buckets USING (f) JOIN gains USING (bucket) WHERE target = 0 GROUP BY r
+    ),
+    scored AS (
+        SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+            (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[:8])
+            ::UBIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score, coalesce(len(w), 0) >= 20 AS eligible
+        FROM words LEFT JOIN weights USING (r) WHERE target = 0
+    ),
+    ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id) AS place,
+            count(*) FILTER (eligible) OVER () * 5 // 100 AS drawn
+        FROM scored
+    )
+    SELECT doc_id, n_features, weight, score,
+        CASE WHEN eligible AND place <= drawn THEN place END::BIGINT AS rank
+    FROM ordered""",
+    "op13_presence_masks": f"""
+    WITH counted AS (
+        SELECT doc_id, r, term, count(*) AS tf FROM (
+            SELECT doc_id, row_number() OVER () AS r, unnest(regexp_extract_all({_LOWER}, '{_WORD}')) AS term
+            FROM documents
+        ) GROUP BY ALL
+    ),
+    lengths AS (SELECT r, sum(tf)::BIGINT AS n FROM counted GROUP BY r),
+    totals AS (SELECT count(*) AS all_n, sum(n)::BIGINT AS all_l FROM lengths),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * all_n + 2) / (2 * count(*) + 1)))::BIGINT AS w
+        FROM counted, totals GROUP BY term, all_n
+    ),
+    wanted AS (
+        SELECT DISTINCT item_id, item, term FROM (
+            SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all({_LOWER}, '{_WORD}')) AS term
+            FROM benchmark
+        )
+    ),
+    scored AS (
+        SELECT item_id, item, doc_id, r,
+            sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * all_n) // all_l))))::BIGINT AS score
+        FROM wanted JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (r), totals
+        GROUP BY ALL HAVING score > 0
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM scored QUALIFY rank <= 50""",
 }
