@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import materialised
+
 SHINGLE = 5
 BINS = 128
 BITS = 8
@@ -100,18 +102,26 @@ def compared(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row of ``docs``.
 
     In the edited text the last third of the code points, rounded down, is replaced by as many first ones of the next
-    document's text, or all if it has fewer. Next is the document of the next lower doc_id, after the last the first; null
-    ids come last, and rows of one id follow each other in an order that depends on their place in the input. A single row
-    is its own next. Null texts count as empty ones; no rows give none; other columns are ignored. ``docs`` must give
-    the same rows in the same places each time it is read, as files do.
+    document's text, or all if it has fewer. Next is the document of the next lower doc_id, after the last the first. Null
+    ids come last; rows of one id follow each other by the digest of their text, equal rows directly. A single row
+    is its own next. Null texts count as empty ones; no rows give none; other columns are ignored.
     """
-    placed, heads = _ranges(docs.select(F.col("doc_id").cast("long"), "text"))
-    marked = placed.join(F.broadcast(heads), ["doc_id_or_least", "__tie", "__range"], "left")
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    placed, heads, copied = _ranges(rows)
+    placed = placed.withColumn("__copies", F.lit(1).cast("long"))
+    if copied:
+        # Rows of one id and text that are many go as one row with their number.
+        many = F.broadcast(docs.sparkSession.createDataFrame(copied, "__id long, __tie string, __n long"))
+        key = ["__id", "__tie"]
+        once = placed.join(many, key).groupBy(*key).agg(
+            *[F.first(c).alias(c) for c in ("doc_id", "text", "__range")], F.first("__n").alias("__copies")
+        )
+        placed = placed.join(many, key, "left_anti").unionByName(once)
+    marked = placed.join(F.broadcast(heads), ["__id", "__tie", "__range"], "left")
     own = F.struct(F.col("__range").alias("range"), F.lit(0).alias("guest"))
     guest = F.struct(F.col("__before").alias("range"), F.lit(1).alias("guest"))
     seats = F.when(F.col("__before").isNull(), F.array(own)).otherwise(F.array(own, guest))
-    plain = marked.withColumn("text", F.coalesce("text", F.lit("")))
-    seated = fingerprinted(plain, "text", "fingerprint").withColumn("seat", F.explode(seats))
+    seated = fingerprinted(marked, "text", "fingerprint").withColumn("seat", F.explode(seats))
     order = W.partitionBy("seat.range").orderBy(
         "seat.guest", F.col("doc_id").desc_nulls_last(), F.col("__tie").desc()
     )
@@ -121,11 +131,18 @@ def compared(docs: DataFrame) -> DataFrame:
         seated.withColumn("__next_text", F.lead("text").over(order))
         .withColumn("__next", F.lead("fingerprint").over(order))
         .where("seat.guest = 0")
-        .withColumn(
-            "__edited",
-            F.concat(F.substring("text", F.lit(1), n - third), F.substring("__next_text", F.lit(1), third)),
-        )
     )
+    if copied:
+        # All copies but the last are followed by one of themselves.
+        is_last = F.col("__copy") == 1
+        following = following.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).withColumns(
+            {
+                "__next_text": F.when(is_last, F.col("__next_text")).otherwise(F.col("text")),
+                "__next": F.when(is_last, F.col("__next")).otherwise(F.col("fingerprint")),
+            }
+        )
+    start = F.substring("text", F.lit(1), n - third)
+    following = following.withColumn("__edited", F.concat(start, F.substring("__next_text", F.lit(1), third)))
     return fingerprinted(following, "__edited", "edited_fingerprint").select(
         "doc_id",
         n.cast("long").alias("n_chars"),
@@ -137,10 +154,13 @@ def compared(docs: DataFrame) -> DataFrame:
     )
 
 
-def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows with their range, numbered in descending order of doc_id, and the first row of each range.
+def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[tuple]]:
+    """The rows with their range, numbered in descending order of doc_id; the first row of each range; copied rows.
 
-    A bound of many rows is the approximate quantile of several shares; it gets as many ranges of its own.
+    A bound of many rows is the approximate quantile of several shares; it gets as many ranges of its own, over which
+    its rows are spread by their text. Rows that agree in id and text beyond an even share of all rows are ``copied``:
+    (id, digest, number) of each, fewer than there are ranges. What tells rows apart is their content, so reading
+    ``docs`` twice, or once more after a loss, gives the same places in whatever order its rows come.
     """
     parts = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [k / parts for k in range(1, parts)]
@@ -153,25 +173,32 @@ def _ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = {b: bounds.count(b) for b in set(bounds) if bounds.count(b) > 1}
     cuts = sorted(set(bounds) | {b - 1 for b in shared})
     # Ranges in descending order: above the last cut, from cut to cut, then the rows without an id.
-    widths = [1, *[shared.get(cut, 1) for cut in reversed(cuts)], max(1, math.ceil((rows - known) / max(1, rows) * parts))]
+    unnamed = max(1, math.ceil((rows - known) / max(1, rows) * parts))
+    widths = [1, *[shared.get(cut, 1) for cut in reversed(cuts)], unnamed]
     starts = [sum(widths[:k]) for k in range(len(widths))]
-    tied = docs.withColumn("__tie", F.xxhash64(F.monotonically_increasing_id()))
-    above = _above(F.col("doc_id"), cuts)
-    place = F.when(F.col("doc_id").isNull(), F.lit(len(widths) - 1)).otherwise(F.lit(len(cuts)) - above)
-    width = F.get(F.lit(widths), place)
+    last = F.lit(len(widths) - 1)
+    place = F.when(F.col("doc_id").isNull(), last).otherwise(F.lit(len(cuts)) - _above(F.col("doc_id"), cuts))
+    part = F.floor(F.conv(F.substring("__tie", 1, 8), 16, 10).cast("long") * F.get(F.lit(widths), F.col("__place")) / 2**32)
     placed = (
-        tied.withColumn("__place", place)
-        .withColumn("__range", F.get(F.lit(starts), F.col("__place")) + F.pmod("__tie", width).cast("int"))
-        .withColumn("doc_id_or_least", F.coalesce("doc_id", F.lit(-(2**63))))
+        docs.withColumn("__tie", F.sha2(F.encode("text", "UTF-8"), 256))
+        .withColumn("__place", place)
+        .withColumn("__range", F.get(F.lit(starts), F.col("__place")) + F.get(F.lit(widths), F.col("__place")) - 1 - part)
+        .withColumn("__id", F.coalesce("doc_id", F.lit(-(2**63))))
         .drop("__place")
     )
-    key = F.struct("doc_id_or_least", "__tie")
+    key = F.struct("__id", "__tie")
+    counted = placed.groupBy("__range", "__id", "__tie").agg(F.count("*").alias("__n"))
+    many = F.when(F.col("__n") > max(1, rows // parts), F.struct("__id", "__tie", "__n"))
+    least = materialised(
+        counted.groupBy("__range").agg(F.max(key).alias("head"), F.collect_list(many).alias("copied")), "fingerprint-ranges"
+    )
     # One row per range that has rows; the first range comes after the last.
-    least = placed.groupBy("__range").agg(F.max(key).alias("head"))
-    every = W.orderBy("__range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    before = F.coalesce(F.lag("__range").over(W.orderBy("__range")), F.last("__range").over(every))
-    heads = least.withColumn("__before", before).select("head.*", "__range", "__before")
-    return placed, heads
+    in_order = W.orderBy("__range")
+    every = in_order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    before = F.coalesce(F.lag("__range").over(in_order), F.last("__range").over(every))
+    heads = least.select("head.*", "__range", before.alias("__before"))
+    copied = least.select(F.inline("copied")).collect()
+    return placed, heads, [tuple(x) for x in copied]
 
 
 def _above(value: Column, cuts: list[int]) -> Column:
