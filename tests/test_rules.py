@@ -9,6 +9,7 @@ from sectorloom.functions import indicators as ind
 from sectorloom.functions import periods, ratios
 from sectorloom.plans import coverage, households, schools, scorecard, water_points
 from sectorloom.sources.schemas import (
+    run_number,
     SCHOOL_FACILITIES,
     SCHOOL_REPORT,
     SCHOOL_SERVICE,
@@ -200,11 +201,14 @@ def test_household_flags(spark, codes):
         ("L9", "R1", DAY, None, 1, 0, 0, 0, 0, 0, 0, 1, 1),
     )
     detail = households.household_detail(df, *codes)
-    flags = households.quality_flags(detail, dt.datetime(2024, 7, 1)).collect()
-    assert [(f["id"], f["error_alert_type"]) for f in flags] == [
+    run_ts = dt.datetime(2024, 7, 1)
+    flags = households.quality_flags(detail, run_ts).collect()
+    assert [(f["id"] - run_number(run_ts), f["error_alert_type"]) for f in flags] == [
         (1, "unrealistic_values"),
         (3, "missing_data"),
     ]
+    later = households.quality_flags(detail, run_ts + dt.timedelta(seconds=1)).collect()
+    assert len({f["id"] for f in [*flags, *later]}) == 4, "ids are unique over runs"
     assert flags[0]["reportdate"] == dt.date(2024, 7, 1)
     clean = households.household_detail(df.where("false"), *codes)
     assert households.quality_flags(clean, dt.datetime(2024, 7, 1)).count() == 0
