@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sizing import fits_in_broadcast
+from .sizing import fits_in_broadcast, measure
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -59,6 +59,11 @@ def lookup_joins(df: DataFrame, lookups: Sequence[Lookup], spread_by: Sequence[s
     shuffles; the heavy keys of all of them come from one pass over ``df`` before the joins, so the plan reads the
     facts once, however many lookups there are. ``spread_by`` names columns that tell rows of one key apart.
     """
+    wanted: dict[int, tuple[DataFrame, list[str]]] = {}
+    for x in lookups:
+        wanted.setdefault(id(x.table), (x.table, []))[1].extend([x.on[1], *x.take.values()])
+    for table, columns in wanted.values():
+        measure(table, columns)
     ones = [one_match(x.table, x.on[1], x.take) for x in lookups]
     small = [
         fits_in_broadcast(x.table, [x.on[1], *x.take.values()]) or fits_in_broadcast(one)

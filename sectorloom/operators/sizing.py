@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
@@ -22,24 +22,45 @@ class Size:
     bytes: int
 
 
-_measured: WeakKeyDictionary[DataFrame, dict[tuple[str, ...], Size]] = WeakKeyDictionary()
+@dataclass
+class Sizes:
+    """Rows of a table, and bytes of those of its columns that are known."""
+
+    rows: int = 0
+    bytes: dict[str, int] = field(default_factory=dict)
+
+
+_known: WeakKeyDictionary[DataFrame, Sizes] = WeakKeyDictionary()
 
 
 def measure(df: DataFrame, columns: Sequence[str] | None = None) -> Size:
-    """Rows, and bytes of the named columns, from one partial aggregate that reads only those.
+    """Rows, and bytes of the named columns; what is not known yet comes from one partial aggregate that reads only that.
 
     File statistics cannot answer this for a derived table: Spark's estimate for a join is the product
-    of both sides, so a lookup of a few hundred rows would be sorted and shuffled with the facts. The answer is
-    kept as long as ``df`` lives.
+    of both sides, so a lookup of a few hundred rows would be sorted and shuffled with the facts. Answers are
+    kept as long as ``df`` lives, and a published mart brings them along (:func:`remember`).
     """
     wanted = [c.strip("`") for c in columns or df.columns]
     own = tuple(dict.fromkeys(actual(df, c) or c for c in wanted))
-    known = _measured.setdefault(df, {})
-    if own not in known:
-        widths = [_width(F.col(f"`{name}`"), df.schema[name].dataType) for name in own]
-        rows, total = df.agg(F.count("*"), F.sum(sum(widths, F.lit(0)).cast("long"))).first()
-        known[own] = Size(rows, total or 0)
-    return known[own]
+    known = _known.setdefault(df, Sizes())
+    missing = [name for name in own if name not in known.bytes]
+    if missing:
+        found = df.agg(*size_metrics(df, missing)).first()
+        known.rows = found[0]
+        known.bytes.update(zip(missing, (n or 0 for n in found[1:])))
+    return Size(known.rows, sum(known.bytes[name] for name in own))
+
+
+def size_metrics(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """Aggregates for the rows and for the bytes of each column, also for a pass that is made anyway."""
+    widths = [_width(F.col(f"`{name}`"), df.schema[name].dataType) for name in columns or df.columns]
+    return [F.count("*").alias("rows")] + [F.sum(w.cast("long")).alias(f"bytes_{i}") for i, w in enumerate(widths)]
+
+
+def remember(df: DataFrame, rows: int, sizes: Mapping[str, int]) -> DataFrame:
+    """``df``, whose size is known from when it was written."""
+    _known[df] = Sizes(rows, dict(sizes))
+    return df
 
 
 def _width(value: Column, kind: T.DataType) -> Column:

@@ -7,7 +7,7 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import run_number
@@ -44,9 +44,10 @@ class Run:
     low_rows: int
     high_rows: int
 
-    def owns(self, column: str) -> Column:
-        """Rows of a log that an earlier attempt of this run left."""
-        return F.col(column) == F.lit(self.run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    @property
+    def number(self) -> int:
+        """What the partitions of this run in the logs are named after."""
+        return run_number(self.run_ts)
 
 
 @dataclass(frozen=True)
@@ -98,7 +99,7 @@ def build_schools(store: Store, run: Run) -> None:
     )
     store.replace(school_quality.KEY_TABLE, school_quality.failing_keys(presence, combined))
     entries = school_quality.qc_log(presence, combined, run.run_ts)
-    store.record("qc_log", entries, run.owns("log_time"))
+    store.record("qc_log", entries, run.number, "schools")
 
 
 def build_school_quality(store: Store, run: Run) -> None:
@@ -153,9 +154,8 @@ def build_households(store: Store, run: Run) -> None:
         named = households.with_names(rates, regions, lgas)
     with error_flag(store, run, 0):
         detail = store.replace("household_detail", named)
-    store.record(
-        "quality_flags", households.quality_flags(detail, run.run_ts), run.owns("createdat")
-    )
+    flags = households.quality_flags(detail, run.run_ts)
+    store.record("quality_flags", flags, run.number, "households")
     with error_flag(store, run, 4):
         store.replace("household_lga", households.lga_means(detail, regions, lgas))
 
@@ -250,7 +250,7 @@ class error_flag:
 
     def __exit__(self, kind, error, trace):
         if error is not None:
-            number = run_number(self.run.run_ts) + 50 + self.kind
+            number = self.run.number + 50 + self.kind
             flag = self.store.spark.range(1).select(
                 F.lit(number).cast("bigint").alias("id"),
                 F.lit("processing_error").alias("error_alert_type"),
@@ -258,5 +258,5 @@ class error_flag:
                 F.lit("").alias("resolution_remarks"),
             )
             rows = households.flag_columns(flag, self.run.run_ts)
-            self.store.record("quality_flags", rows, F.col("id") == number)
+            self.store.record("quality_flags", rows, self.run.number, f"error-{self.kind}")
         return False
