@@ -31,7 +31,9 @@ from sectorloom.plans import (  # noqa: E402
 )
 from sectorloom.sources.shared import new_folder  # noqa: E402
 from sectorloom.sources.stores import RAW, FolderStore  # noqa: E402
+from sectorloom.streaming.changes import signed_rows  # noqa: E402
 from sectorloom.streaming.refresh import start_quality_flags, start_refresh  # noqa: E402
+from sectorloom.streaming.school_checks import start_school_checks, streamed_presence  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -313,6 +315,55 @@ def _yearly_region_metric_stream(data: Inputs) -> DataFrame:
     return _streamed(data, grouped, "percentage")
 
 
+def _yearly_region_metric_changes(data: Inputs) -> DataFrame:
+    """The mart after inserts, then updates that raise values and move rows to another region, then deletes."""
+    number = F.col("event_id")
+    row = ["date_recorded", "region", "functioning_percentage"]
+    first = F.struct(*[F.expr(fixtures.INPUTS["water_data"].columns[c]).alias(c) for c in row])
+    moved = F.when(number % 6 == 0, "moved").otherwise(F.col("after.region")).alias("region")
+    raised = (F.col("after.functioning_percentage") + 10).alias("functioning_percentage")
+    updated = F.struct(F.col("after.date_recorded").alias("date_recorded"), moved, raised)
+    inserts = data.source.table("events").select("event_id", first.alias("after"))
+    latest = inserts.withColumn("after", F.when(number % 3 == 0, updated).otherwise(F.col("after")))
+    nothing = F.lit(None).cast(inserts.schema["after"].dataType)
+    batches = [
+        inserts.withColumn("before", nothing),
+        inserts.where(number % 3 == 0).select(F.col("after").alias("before"), updated.alias("after")),
+        latest.where(number % 5 == 0).select(F.col("after").alias("before"), nothing.alias("after")),
+    ]
+    feed, target, state = (new_folder(data.spark, x) for x in ("changes", "refreshed", "refresh-state"))
+    for batch in batches:
+        batch.select("before", "after").write.mode("append").parquet(feed)
+        changes = data.spark.readStream.schema(batches[1].select("before", "after").schema).parquet(feed)
+        query = start_refresh(
+            periodic.functioning_of_changes(signed_rows(changes)),
+            lambda mart: mart.write.mode("overwrite").parquet(target),
+            state,
+        )
+        query.awaitTermination()
+    return rounded(data.spark.read.parquet(target), ["percentage"])
+
+
+# The arrival of a school's rows: their batch in each source, so partners come apart.
+ARRIVALS = 4
+ARRIVES = {"school_services": 0, "school_reports": 1, "school_infrastructure": 2}
+
+
+def _school_checks_stream(data: Inputs) -> DataFrame:
+    """The checks between the school sources after each of several arrivals of rows."""
+    state, found = new_folder(data.spark, "checks-state"), new_folder(data.spark, "checks")
+    folders = {name: new_folder(data.spark, name) for name in ARRIVES}
+    number = F.split_part("schoolregnumber", F.lit("."), F.lit(2)).cast("int")
+    for arrival in range(ARRIVALS):
+        streams = []
+        for name, shift in ARRIVES.items():
+            rows = getattr(data, name)
+            rows.where((number + shift) % ARRIVALS == arrival).write.mode("append").parquet(folders[name])
+            streams.append(data.spark.readStream.schema(rows.schema).parquet(folders[name]))
+        start_school_checks(streamed_presence(*streams, YEAR), RUN_TS, found, state).awaitTermination()
+    return data.spark.read.parquet(found).select("batch_id", "check_name", "result_value")
+
+
 def _streamed(data: Inputs, grouped: DataFrame, mean: str) -> DataFrame:
     """The mart after the stream has caught up with its source."""
     target = new_folder(data.spark, "refreshed")
@@ -365,6 +416,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "monthly_metric_stream": _monthly_metric_stream,
     "yearly_region_metric": _yearly_region_metric,
     "yearly_region_metric_stream": _yearly_region_metric_stream,
+    "yearly_region_metric_changes": _yearly_region_metric_changes,
+    "school_checks_stream": _school_checks_stream,
 }
 
 

@@ -262,6 +262,45 @@ DISTRICT_MEANS = """round(avg_wp_abandoned, 6) AS avg_wp_abandoned,
     round(avg_in_construction, 6) AS avg_in_construction,
     round(functionality_rate, 6) AS functionality_rate, round(func_rate_new, 6) AS func_rate_new"""
 
+def school_checks_stream() -> str:
+    """The checks between the sources over all rows that have arrived by each batch."""
+    number = "CAST(split_part(schoolregnumber, '.', 2) AS INT)"
+    return with_parts(
+        f"""SELECT batch_id, check_name, result_value FROM (
+            UNPIVOT (
+                SELECT batch_id,
+                    CAST(count(*) FILTER (in_year > 0) AS VARCHAR) AS unique_schools_services,
+                    CAST(count(*) FILTER (reports > 0) AS VARCHAR) AS unique_schools_reports,
+                    CAST(count(*) FILTER (in_year > 0 AND reports > 0) AS VARCHAR) AS matched_services_reports,
+                    CAST(count(*) FILTER (facilities > 0) AS VARCHAR) AS unique_schools_infrastructure,
+                    CAST(count(*) FILTER (in_year > 0 AND facilities > 0) AS VARCHAR)
+                        AS matched_combined_infrastructure,
+                    CAST(coalesce(sum(in_year) FILTER (reports = 0), 0) AS VARCHAR)
+                        AS unmatched_services_not_in_reports,
+                    CAST(coalesce(sum(reports) FILTER (services = 0), 0) AS VARCHAR)
+                        AS unmatched_reports_not_in_services,
+                    CAST(coalesce(sum(facilities) FILTER (in_year = 0), 0) AS VARCHAR) AS infra_not_in_combined,
+                    CAST(coalesce(sum(in_year) FILTER (facilities = 0), 0) AS VARCHAR) AS combined_not_in_infra
+                FROM (
+                    SELECT batch_id, schoolregnumber, count(*) FILTER (kind = 's') AS services,
+                        count(*) FILTER (kind = 's' AND in_year) AS in_year,
+                        count(*) FILTER (kind = 'r') AS reports, count(*) FILTER (kind = 'i') AS facilities
+                    FROM (
+                        SELECT schoolregnumber, 's' AS kind, {number} % 4 AS arrives, year(reportdate) = 2024 AS in_year
+                        FROM school_services
+                        UNION ALL SELECT schoolregnumber, 'r', ({number} + 1) % 4, NULL FROM school_reports
+                        UNION ALL SELECT schoolregnumber, 'i', ({number} + 2) % 4, NULL FROM school_infrastructure
+                    ) JOIN (SELECT CAST(unnest(range(4)) AS INT) AS batch_id) ON arrives <= batch_id
+                    GROUP BY ALL
+                ) GROUP BY batch_id
+            ) ON COLUMNS(* EXCLUDE batch_id) INTO NAME check_name VALUE result_value
+        )""",
+        "school_services",
+        "school_reports",
+        "school_infrastructure",
+    )
+
+
 HOUSEHOLD_MEANS = """round(avg(improved_perc_hhs), 6) AS avg_improved_perc_hhs,
     round(avg(handwashstation_perc_hhs), 6) AS avg_handwashstation_perc_hhs,
     round(avg(handwashsoap_perc_hhs), 6) AS avg_handwashsoap_perc_hhs"""
@@ -654,4 +693,10 @@ def oracle_sql() -> dict[str, str]:
         "monthly_metric_stream": monthly,
         "yearly_region_metric": yearly,
         "yearly_region_metric_stream": yearly,
+        "yearly_region_metric_changes": """
+            SELECT CAST(date_trunc('year', ts) AS TIMESTAMP) AS year,
+                CASE WHEN event_id % 6 = 0 THEN 'moved' ELSE event_type END AS region,
+                round(avg(CASE WHEN event_id % 3 = 0 THEN value + 10 ELSE value END), 6) AS percentage
+            FROM events WHERE event_id % 5 <> 0 GROUP BY 1, 2""",
+        "school_checks_stream": school_checks_stream(),
     }

@@ -232,7 +232,15 @@ def qc_log(presence: DataFrame, combined: DataFrame, run_ts: dt.datetime) -> Dat
     Of a listing check the log has the number of rows and the name of the table that lists them, whatever their
     number. Ids are unique over runs: the seconds of the run, then two digits for the check.
     """
-    results = presence_results(presence).unionByName(school_results(combined))
+    return _logged(presence_results(presence).unionByName(school_results(combined)), run_ts)
+
+
+def presence_log(presence: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """The part of :func:`qc_log` that compares the sources."""
+    return _logged(presence_results(presence), run_ts)
+
+
+def _logged(results: DataFrame, run_ts: dt.datetime) -> DataFrame:
     order = F.array_position(F.array(*[F.lit(c) for c in CHECKS]), F.col("check_name"))
     stamp = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     logged = results.withColumns(

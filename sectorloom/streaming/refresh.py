@@ -1,6 +1,6 @@
 """Marts and quality rows that follow an append-only source.
 
-A source with updates or deletes needs the batch rebuild of the same plan instead.
+For a source with updates or deletes, see ``changes``, or run the batch rebuild of the same plan.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
 def start_refresh(
@@ -41,10 +41,24 @@ def start_quality_flags(
     A batch that is run again after a failure replaces its own flags instead of adding to them.
     """
 
+    return start_batches(
+        reports.writeStream.outputMode("append"), check, folder, checkpoint, until_caught_up
+    )
+
+
+def start_batches(
+    writer: DataStreamWriter,
+    result: Callable[[DataFrame], DataFrame],
+    folder: str,
+    checkpoint: str,
+    until_caught_up: bool = True,
+) -> StreamingQuery:
+    """Keep the result of every micro-batch below ``folder`` under its number."""
+
     def keep(batch: DataFrame, batch_id: int) -> None:
-        check(batch).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        result(batch).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
-    return _start(reports.writeStream.outputMode("append"), keep, checkpoint, until_caught_up)
+    return _start(writer, keep, checkpoint, until_caught_up)
 
 
 def _start(writer, handle, checkpoint: str, until_caught_up: bool) -> StreamingQuery:
