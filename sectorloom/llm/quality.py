@@ -3,14 +3,16 @@
 Grades 0 (bad), 1 (well written but toxic) and 2 (good) share one weight per text feature; ordered thresholds turn
 the sum of weights into P(grade <= j). A document is selected by the tail probability of the top grade.
 
-Features are the hashes of a document's distinct words, of their first four and five bytes, and of a few bucketed traits: shares of symbols, capitals
-and repeated words, and length. The model is a table of fixed size, found by a hash and checked by it, so a
-word that was never seen has no weight.
-
-The model is fitted on at most ``SAMPLE`` labelled documents, those of the smallest hashes of doc_id. A feature
-counts if at least ``MIN_DOCS`` of them have it and some grade is ``LEAST_Z`` standard errors from its share in all, for
-at most ``MAX_FEATURES`` features; else the many indifferent words of a long text would outweigh the few that
-matter. These bounds hold what reaches the driver. Every document is scored in full.
+Features are the hashes of a document's distinct words, of their first four, five, seven and eight bytes, and of a few bucketed traits: shares of symbols, capitals
+and repeated words, and length. A word that was never seen has no weight.
+
+The model is fitted on at most ``SAMPLE`` labelled documents, those of the smallest hashes of doc_id; that bounds what reaches the
+driver. A feature counts if it marks lower grades: of the n documents that have it k are of a low grade, whose share in
+all is p < k/n, and chance gives as much with a probability of at most exp(-n KL(k/n, p)), which must be below
+``BY_CHANCE`` of the number of features. So a few documents are enough for a clear mark, however many labels there are.
+Weights are evidence against a document and never above zero: else the many indifferent words of a long text would
+outweigh the few that matter. The tail probability that selects is the one that keeps ``KEEP`` of the good documents of
+the sample. Every document is scored in full.
 """
 
 from __future__ import annotations
@@ -23,29 +25,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_slices, materialised, slices
+from .common import by_slices, discard, slices, written
 from .words import Words, counted, mixed, utf8, word_bytes, words
 
 SAMPLE = 10_000
-MIN_DOCS = 20
-MAX_FEATURES = 1 << 16
-LEAST_Z = 8.0
-PREFIXES = (4, 5)
-SLOTS = 1 << 20
+BY_CHANCE = 50
+KEEP = 0.985
+PREFIXES = (4, 5, 7, 8)
 STEPS = 300
 RIDGE = 0.05
 GRADES = 3
 TOP = 2
+# The tail probability that selects where no good document is labelled.
 CUT = 0.5
 
 
 @dataclass
 class Model:
-    """Feature hashes and weights by slot, and the ordered thresholds."""
+    """Feature hashes in order and their weights, the ordered thresholds, and the tail probability that selects."""
 
     keys: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    cut: float = CUT
+
+    def eta(self, text: np.ndarray, hashes: np.ndarray, texts: int) -> np.ndarray:
+        """The sum of the weights of each text's features."""
+        if not len(self.keys):
+            return np.zeros(texts)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        known = np.flatnonzero(self.keys[at] == hashes)
+        return np.bincount(text[known], weights=self.weights[at[known]], minlength=texts)
 
     def probabilities(self, eta: np.ndarray) -> np.ndarray:
         """P(grade = j) per row."""
@@ -103,7 +113,7 @@ def grade(quality: str = "quality", toxic: str = "toxic"):
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model fitted on a bounded sample of labelled documents.
 
     A label without quality, or without its document, does not count; of several labels of a document the worst
@@ -128,30 +138,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: in
                 )
                 yield pa.RecordBatch.from_arrays([part.column("grade"), lists], ["grade", "features"])
 
-    examples = materialised(
+    examples, examples_at = written(
         docs.select("doc_id", "text")
         .join(F.broadcast(rated), "doc_id")
         .select("grade", "text")
         .mapInArrow(extract, "grade int, features array<bigint>"),
         "ratings",
     )
-    shares = dict(examples.groupBy("grade").count().collect())
-    rows = sum(shares.values())
-    surprise = [F.lit(0.0)]
-    for g in shares:
-        p = min(max(shares[g] / rows, 1e-3), 1 - 1e-3)
-        surprise.append(F.abs(F.count_if(F.col("grade") == g) - F.count("*") * p) / F.sqrt(F.count("*") * p * (1 - p)))
-    counts = (
-        examples.select("grade", F.explode("features").alias("feature"))
-        .groupBy("feature")
-        .agg(F.count("*").alias("n"), F.greatest(*surprise, F.lit(0.0)).alias("z"))
-        .where((F.col("n") >= min_docs) & (F.col("z") >= LEAST_Z))
-        .orderBy(F.desc("z"), "feature")
-        .limit(MAX_FEATURES)
-    )
-    kept = np.array([row[0] for row in counts.select("feature").collect()], np.int64)
-    keys, _ = _table(kept.view(np.uint64), np.zeros(len(kept)))
-    kept = keys[keys != 0].view(np.int64)
+    kept, keys_at = _marks(examples)
     index = np.sort(kept)
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,31 +162,53 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: in
             yield pa.RecordBatch.from_arrays([batch.column("grade"), short], ["grade", "features"])
 
     rows = examples.mapInArrow(shorten, "grade int, features array<int>").toArrow().combine_chunks()
+    discard(docs.sparkSession, examples_at, keys_at)
     if not rows.num_rows:
-        return Model(*_table(np.empty(0, np.uint64), np.empty(0)), np.array([-30.0, -20.0]))
+        return Model(np.empty(0, np.uint64), np.empty(0), np.array([-30.0, -20.0]))
     lists = rows.column("features").combine_chunks()
     lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
-    weights, thresholds = fit(
-        lists.flatten().to_numpy(),
-        lists.value_lengths().to_numpy(),
-        rows.column("grade").to_numpy(),
-        len(index),
-    )
-    return Model(*_table(index.view(np.uint64), weights), thresholds)
+    flat, lengths = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    grades = rows.column("grade").to_numpy()
+    weights, thresholds = fit(flat, lengths, grades, len(index))
+    order = np.argsort(index.view(np.uint64))
+    model = Model(index.view(np.uint64)[order], weights[order], thresholds)
+    good = grades == TOP
+    if good.any():
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        eta = np.bincount(owner, weights=weights[flat], minlength=len(grades))
+        # A hair lower, so that equal probabilities count as equal.
+        model.cut = float(np.quantile(model.probabilities(eta[good])[:, TOP], 1 - KEEP, method="lower")) * (1 - 1e-9)
+    return model
 
 
-def _table(hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Open table of fixed size; of two features of a slot the first stays."""
-    keys, values = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.float32)
-    slots = hashes & np.uint64(SLOTS - 1)
-    keys[slots[::-1]], values[slots[::-1]] = hashes[::-1], weights[::-1]
-    return keys, values
+def _marks(examples: DataFrame) -> tuple[np.ndarray, str]:
+    """The features that mark lower grades, and the folder of their counts."""
+    shares = dict(examples.groupBy("grade").count().collect())
+    counts, folder = written(
+        examples.select("grade", F.explode("features").alias("feature"))
+        .groupBy("feature")
+        .agg(*[F.count_if(F.col("grade") == g).alias(f"n{g}") for g in range(GRADES)]),
+        "features",
+    )
+    least = F.lit(float(np.log(max(counts.count(), 1) / BY_CHANCE)))
+    marked = F.lit(False)
+    for low, high in (((0,), (1, 2)), ((0, 1), (2,)), ((1,), (2,))):
+        few, many = (sum(shares.get(g, 0) for g in side) for side in (low, high))
+        if not few or not many:
+            continue
+        p = few / (few + many)
+        k, n = (sum((F.col(f"n{g}") for g in side), F.lit(0)) for side in (low, low + high))
+        q = k / F.nullif(n, F.lit(0))
+        distance = F.when(q == 1, q * F.log(q / p)).otherwise(q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p)))
+        marked = marked | F.coalesce((q > p) & (n * distance >= F.greatest(least, F.lit(1.0))), F.lit(False))
+    found = counts.where(marked).select("feature").collect()
+    return np.array([row[0] for row in found], np.int64), folder
 
 
 def fit(
     flat: np.ndarray, lengths: np.ndarray, grades: np.ndarray, n_features: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds of least penalised log loss, by full-gradient steps of adaptive size.
+    """Weights, none above zero, and ordered thresholds of least penalised log loss, by full-gradient steps of adaptive size.
 
     The first threshold and the logarithms of the gaps are free, so the thresholds keep their order.
     """
@@ -223,20 +239,20 @@ def fit(
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         rate = 0.2 * (1 - step / (STEPS + 1))
         free = free - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        free[cuts:] = np.minimum(free[cuts:], 0)
     gaps = np.exp(free[1:cuts])
     return free[cuts:], free[0] + np.concatenate([[0], np.cumsum(gaps)])
 
 
-def scorer(docs: DataFrame, model: Model, cut: float = CUT):
+def scorer(docs: DataFrame, model: Model, cut: float | None = None):
     """A function of a text column: expected_grade, top_probability and selected. A null text counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    cut = model.cut if cut is None else cut
 
     def score(column: pa.Array) -> pa.Array:
         model = shared.value
         text, hashes = features(column)
-        slots = hashes & np.uint64(SLOTS - 1)
-        known = (model.keys[slots] == hashes) * model.weights[slots]
-        p = model.probabilities(np.bincount(text, weights=known, minlength=len(column)))
+        p = model.probabilities(model.eta(text, hashes, len(column)))
         expected, tail = p @ np.arange(GRADES), p[:, TOP]
         return pa.StructArray.from_arrays(
             [pa.array(expected), pa.array(tail), pa.array(tail >= cut)],
@@ -249,7 +265,7 @@ def scorer(docs: DataFrame, model: Model, cut: float = CUT):
     )
 
 
-def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, cut: float | None = None) -> DataFrame:
     """(doc_id, expected_grade, top_probability, selected) of every row; other columns are ignored.
 
     Repeated rows are scored alike; no rows give none.
@@ -258,7 +274,7 @@ def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     return docs.select("doc_id", score("text").alias("score")).select("doc_id", "score.*")
 
 
-def select(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, cut: float | None = None) -> DataFrame:
     """The selected documents with all their columns."""
     score = scorer(docs, train(docs, labels), cut)
     return docs.where(score("text").getField("selected"))
