@@ -30,23 +30,34 @@ INLINE = frozenset(
 # Unread elements: those of raw text last to the end of the page if they are not closed, of others only the tag is left out.
 RAW = "script|style|textarea|title"
 UNREAD = "noscript|template|svg|math|iframe|object|canvas|select"
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr p li dt dd tr td th".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements whose end tag may be left out, with the kind of each and what else one of them ends.
+ITEMS = {"p": "p", "li": "li", "dt": "dd", "dd": "dd", "tr": "tr", "td": "td", "th": "td"}
+ENDS = {"p": {"p"}, "li": {"p", "li"}, "dd": {"p", "dd"}, "td": {"p", "td"}, "tr": {"p", "td", "tr"}}
 FURNITURE = frozenset("nav header footer aside form menu button dialog fieldset".split())
 NAMED = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|"
+    r"(?i)(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|"
     r"side-?bar|widget|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|disqus|repl(?:y|ies)|"
     r"respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|popup|modal|pagination|"
-    r"copyright|legal|disclaimer|tags?|byline|toolbar)(?:$|[\s_-])"
+    r"copyright|legal|disclaimer|tags?|byline|toolbar)\Z"
 )
-# A class, id or role is one of these words or has one as a part, unless its first part says that it describes the layout.
-MODIFIER = re.compile(r"(?i)(?:with|without|has|have|no|not|is|hide|show|supports)[_-]")
+# Last parts of a class, id or role that only say where or in what it is: the part before them is its name.
+PLACE = re.compile(
+    r"(?i)(?:left|right|top|bottom|first|last|primary|secondary|main|site|page|wrap|wrapper|container|inner|outer|box|"
+    r"area|section|block|region|column|col|row|bar|list|items?|links?|buttons?|icons?|posts?|articles?|stories|text|"
+    r"title|content|body|form|slot|unit|\d+)\Z"
+)
+# Unless the first part says that it describes the layout.
+MODIFIER = re.compile(r"(?i)(?:with|without|has|have|no|not|is|hide|show|supports)\Z")
 MAIN = frozenset(["article", "main"])
 # Elements whose articles are furniture too.
 APART = frozenset(["nav", "aside", "footer"])
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))|<(?P<unread>{UNREAD})(?=[\s/>])[^>]*>|"
-    r"<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    r"<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
+    # Attributes: a quote opens a quoted value only right after the equals sign, else it is a character like others.
+    r"(?P<rest>(?:[\s/]++|[^\s/>=<]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+|=)*+)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"""(?is)\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
@@ -163,9 +174,20 @@ class Block:
         return self.linked / self.words
 
 
-def _named(rest: str) -> bool:
-    values = " ".join(value.strip("\"'") for value in _NAMES.findall(rest)).split()
-    return any(NAMED.search(value) and not MODIFIER.match(value) for value in values)
+def _named(attributes: str) -> bool:
+    """Whether a class, id or role is that of furniture: by its last part that is more than a place."""
+    for value in _NAMES.findall(attributes):
+        for name in value.strip("\"'").split():
+            parts = [part for part in re.split(r"[_-]+", name) if part]
+            if not parts or len(parts) > 1 and MODIFIER.match(parts[0]):
+                continue
+            if NAMED.match(name):
+                return True
+            while len(parts) > 1 and PLACE.match(parts[-1]):
+                parts.pop()
+            if NAMED.match(parts[-1]):
+                return True
+    return False
 
 
 def _closed(page: str, name: str) -> dict[int, int]:
@@ -186,6 +208,8 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     pieces: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, bool, bool]] = []
+    # Open paragraphs, list items and cells: kind, depth of the stack, and whether they are named as furniture.
+    items: list[tuple[str, int, bool]] = []
     furniture = in_main = apart = False
     links = at = 0
     closed: dict[str, dict[int, int]] = {}
@@ -194,7 +218,8 @@ def blocks(page: str) -> list[Block]:
         text = html.unescape("".join(piece for piece, _ in pieces)).split()
         if text:
             linked = sum(len(html.unescape(piece).split()) for piece, link in pieces if link)
-            found.append(Block(" ".join(text), len(text), min(linked, len(text)), furniture, in_main))
+            named = furniture or any(x[2] for x in items)
+            found.append(Block(" ".join(text), len(text), min(linked, len(text)), named, in_main))
         pieces.clear()
 
     while token := _TOKEN.search(page, at):
@@ -219,16 +244,25 @@ def blocks(page: str) -> list[Block]:
         links = 0
         if name in VOID:
             continue
+        if name in ITEMS:
+            kind, depth = ITEMS[name], len(stack)
+            ended = {kind} if token["close"] else ENDS[kind]
+            items = [x for x in items if x[1] < depth or x[0] not in ended]
+            if not token["close"]:
+                items.append((kind, depth, _named(token["rest"])))
+            continue
+        items = [x for x in items if x[0] != "p" or x[1] < len(stack)]
         if token["close"]:
             if any(entry[0] == name for entry in stack):
                 while stack and stack.pop()[0] != name:
                     pass
                 furniture, in_main, apart = stack[-1][1:] if stack else (False, False, False)
+                items = [x for x in items if x[1] <= len(stack)]
         elif not token["rest"].endswith("/"):
             if name in MAIN:
                 # Furniture starts afresh: what is around the outermost one is the layout of the page.
                 if not in_main and not apart:
-                    furniture = False
+                    furniture, items = False, []
             elif name not in ("html", "body"):
                 furniture = furniture or name in FURNITURE or _named(token["rest"])
             in_main = in_main or name in MAIN

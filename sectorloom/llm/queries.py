@@ -153,7 +153,7 @@ ORACLE = {
     ),
     scored AS (
         SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
-        FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+        FROM (SELECT DISTINCT * FROM vectors WHERE vec_id % 50 = 0) q JOIN vectors c ON c.vec_id <> q.vec_id
     )
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
     FROM scored QUALIFY rank <= 5""",

@@ -41,7 +41,6 @@ def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
             F.col("vec_id").cast("long").alias("vec_id"),
             F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("vec"),
         )
-        .distinct()
     )
 
 
@@ -55,11 +54,15 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for every row whose id ``query_step`` divides.
 
-    Ties go to the smaller vec_id. A row never answers a query of its own id. Repeated rows count once; rows with
+    Ties go to the smaller vec_id. A row never answers a query of its own id. Repeated rows are rows of their own among
+    the results, of which a query needs no more than k of them, and one query; rows with
     a null id or with null or non-finite components take no part; vectors of different lengths are never
     compared; empty vectors score 0. Scores are 64-bit integers that wrap as Spark's do. Other columns are ignored.
     """
-    vectors = materialised(quantised(embeddings, scale), "vectors")
+    counted = quantised(embeddings, scale).groupBy("vec_id", "vec").agg(F.count("*").alias("n"))
+    # More than k equal rows can't all be among k results.
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("copy")
+    vectors = materialised(counted.select("vec_id", "vec", copies), "vectors")
     total, low, high = vectors.agg(
         F.count("*"), F.min(F.array_min("vec")), F.max(F.array_max("vec"))
     ).first()
@@ -67,7 +70,7 @@ def top_k(
     low, high = low or 0, high or 0
     width = max(1, -(-(high - low + 1) // CELLS))
     dims = F.size("vec").alias("dims")
-    place = F.xxhash64("vec_id", "vec")
+    place = F.xxhash64("vec_id", "vec", "copy")
     row = F.struct("vec_id", "vec")
     by_chunk = (
         vectors.groupBy(dims, F.pmod(place, F.lit(chunks)).alias("chunk"))
@@ -79,7 +82,7 @@ def top_k(
     )
     blocks = max(1, -(-total // (query_step * block_queries)))
     by_block = (
-        vectors.where(F.col("vec_id") % query_step == 0)
+        vectors.where((F.col("vec_id") % query_step == 0) & (F.col("copy") == 1))
         .groupBy(dims, F.pmod(place, F.lit(blocks)).alias("chunk"))
         .agg(F.collect_list(row).alias("rows"))
     )

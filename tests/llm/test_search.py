@@ -83,12 +83,12 @@ def test_urls(spark):
 
 
 def brute_top(rows, k=5, step=50):
-    good = {}
+    good = []
     for vec_id, vec in rows:
         if vec_id is not None and vec is not None and all(x is not None and math.isfinite(x) for x in vec):
-            good[vec_id, tuple(math.floor(256 * x) for x in vec)] = None
+            good.append((vec_id, tuple(math.floor(256 * x) for x in vec)))
     out = []
-    for q, vec in good:
+    for q, vec in dict.fromkeys(good):
         if q % step:
             continue
         scored = [(-sum(a * b for a, b in zip(vec, v)), i) for i, v in good if i != q and len(v) == len(vec)]
@@ -100,7 +100,7 @@ def brute_top(rows, k=5, step=50):
 def test_vectors(spark, chunk_rows):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(150)]
-    rows += [(1000 + i, rows[50][1]) for i in range(40)] + [rows[3], (2000, [0.5] * 3), (2050, [1.0, -2.0, 300.0])]
+    rows += [(1000 + i, rows[50][1]) for i in range(40)] + [rows[3], *[rows[7]] * 3, *[rows[8]] * 30, rows[100], (2000, [0.5] * 3), (2050, [1.0, -2.0, 300.0])]
     rows += [(3000, None), (3050, [None] * 6), (3100, [float("nan")] * 6), (3150, [float("inf")] * 6), (None, [0.1] * 6)]
     rows += [(4000, []), (4050, [])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<double>, rank int")
@@ -154,6 +154,30 @@ def test_page_without_article_keeps_prose_and_drops_links():
     assert html_extract.main_text(text) == " ".join(f"{prose}{prose}".split())
 
 
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<article><p title=it's>hello there</article>", "hello there"),
+        ("<article><p title='a > b' x=\"c > d\" e=f\"g>hello</p> <a href=a'b>link</a></article>", "hello link"),
+        ("<article><p class=\"ad\">buy<p>text</article>", "text"),
+        ("<article><ul><li class=advert>buy<li>one<li class='share-buttons'>x</li></ul><p>end</article>", "one end"),
+        ("<article><table><tr><td class=sidebar>no<div>nor this</div><td>yes<tr class=promo><td>no<tr><td>end</table>after</article>", "yes end after"),
+        ("<article><div class=social-science>kept</div><div class=social-links>not</div></article>", "kept"),
+        ("<article><div class='cookie-notice'>no</div><div class=header-image>a caption</div><div id=sidebar_left>no</div></article>", "a caption"),
+        ("<article><dl><dt class=ads>no<dd>yes</dl><p class=comments>no<div>yes too</div></article>", "yes yes too"),
+        ("<table><tr><td class=menu>Menu<td class='related main'><article>whole text</article></table>", "whole text"),
+        ("<article><ul><li class=ad>no<ul><li>nor this</ul>nor that<li>yes</ul></article>", "yes"),
+    ],
+)
+def test_attributes_and_named_items(html, expected):
+    assert html_extract.main_text(html) == expected
+
+
+def test_a_tag_that_never_ends_is_read_in_linear_time():
+    for text in ("<p " + "a=b " * 100_000, "<p " + "a" * 400_000, "<p x='" + "a " * 200_000, "<" * 100_000):
+        html_extract.main_text(f"<article>before {text}")
+
+
 def test_tree_learns_its_table():
     root = html_extract.tree()
     for row in html_extract.LABELLED:
