@@ -160,9 +160,11 @@ ORACLE = {
     "op8_stratified_interleaving": f"""
     WITH {_CRC32},
     rows AS (
-        SELECT doc_id, source, strlen(coalesce(text, '')) + 1 AS size, {_CRC32_OF_TEXT} AS text_crc32,
-            md5('17:' || coalesce(doc_id::VARCHAR, '')) AS digest
-        FROM (SELECT *, hex(encode(coalesce(text, ''))) AS hex FROM documents), crc_table
+        SELECT *, md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32 || ':' || size) AS digest
+        FROM (
+            SELECT doc_id, source, strlen(coalesce(text, '')) + 1 AS size, {_CRC32_OF_TEXT} AS text_crc32
+            FROM (SELECT *, hex(encode(coalesce(text, ''))) AS hex FROM documents), crc_table
+        )
     ),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY source ORDER BY digest, doc_id, text_crc32, size) AS r,

@@ -33,8 +33,11 @@ def shard(
     doc_id, checksum and size are interchangeable. An empty table gives no rows. Other columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    digest = F.md5(F.encode(F.concat(F.lit(f"{seed}:"), name), "UTF-8"))
+    size = (F.octet_length(text) + 1).cast("long")
+    checksum = F.crc32(F.encode(text, "UTF-8"))
+    # Of all that tells rows apart, so that rows without an id or with the same one are spread too.
+    name = F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), checksum, size)
+    digest = F.md5(F.encode(name, "UTF-8"))
     total = docs.count()
     buckets = max(1, -(-total // bucket_rows))
     rows = docs.select(
@@ -42,8 +45,8 @@ def shard(
         F.when(F.col("source").isNull(), "n")
         .otherwise(F.concat(F.lit("s"), F.col("source")))
         .alias("__source"),
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        size.alias("size"),
+        checksum.alias("text_crc32"),
         digest.alias("__digest"),
     )
     order = ["__digest", "doc_id", "text_crc32", "size"]
