@@ -34,7 +34,6 @@ def test_escapes_that_look_like_escapes():
 
 def library_ids(text):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(token_output.TOKENIZER))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
 
 
@@ -78,6 +77,37 @@ def check(reference, texts):
     assert bpe.tables(path).decode(ids, counts) == [text.encode() for text in texts]
 
 
+def thue_morse(n, first):
+    return "".join("ab"[(i.bit_count() + first) % 2] for i in range(n))
+
+
+def test_words_that_collide_modulo_two_to_the_64(reference):
+    """For such words every polynomial hash modulo 2**64 is the same."""
+    words = [thue_morse(n, first) for n in (1024, 4096) for first in (0, 1)]
+    check(reference, [*words, " ".join(words)])
+    path = public_tokenizers.path(token_output.TOKENIZER)
+    tokenizer = Tokenizer.from_file(path)
+    ids, counts = token_output.encode(pa.array(words), path)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [
+        tokenizer.encode(word, add_special_tokens=False).ids for word in words
+    ]
+
+
+def test_long_documents_decode_in_bounded_runs(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "TOKENS_AT_ONCE", 7)
+    check(reference, ["", "one two three " * 30, "", "é日本" * 20, "x"])
+    monkeypatch.undo()
+    check(reference, ["word and word, " * 1_000_000, "z"])
+
+
+def test_packing_of_a_run_does_not_depend_on_its_neighbours():
+    small = np.ones(1024, np.uint64)
+    alone, _ = token_output.pack(small)
+    wide = np.full(64 * 1024, 50_000, np.uint64)
+    words, blocks = token_output.pack(np.concatenate([wide, small]))
+    assert words[blocks[64] :].tolist() == alone.tolist()
+
+
 def test_cache_limits_change_nothing(reference, monkeypatch):
     monkeypatch.setattr("sectorloom.llm.pieces.MAX_PIECES", 3)
     for _ in range(3):
@@ -103,7 +133,7 @@ def test_binary_ids():
 def brute_shards(rows, shards):
     """Rank within source by digest, order all by fractional rank, cut evenly."""
     def key(r):
-        return (hashlib.md5(f"17:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] is not None, r[0] or 0, r[3], r[2])
+        return (hashlib.md5(f"17:{'' if r[0] is None else r[0]}:{r[3]}:{r[2]}".encode()).hexdigest(), r[0] is not None, r[0] or 0, r[3], r[2])
 
     placed = []
     for source in {r[1] for r in rows}:
@@ -157,3 +187,14 @@ def test_added_tokens_in_files(spark):
         start += len(ids)
     got = token_output.listing(docs, new_folder(spark, "t")).collect()
     assert sorted(map(tuple, got)) == expected
+
+
+def test_rows_without_ids_are_spread_over_buckets(spark):
+    """Half of the rows have no id: no bucket, and so no window task, holds many of them."""
+    rows = spark.range(8000).selectExpr("IF(id % 2 = 0, NULL, id) AS doc_id", "'text ' || id AS text", "'s' AS source")
+    placed = sharding.shard(rows, bucket_rows=200)
+    sizes = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert max(sizes) - min(sizes) <= 1
+    digest = "conv(substring(md5(encode(concat_ws(':', '17', coalesce(string(doc_id), ''), text_crc32, size), 'UTF-8')), 1, 8), 16, 10)"
+    buckets = placed.selectExpr(f"floor(bigint({digest}) * 40 / 4294967296) AS b").groupBy("b").count()
+    assert max(r["count"] for r in buckets.collect()) < 300
