@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.shared import new_folder
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +25,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialised(df: DataFrame, purpose: str, **options: str) -> DataFrame:
-    """``df`` written below the shared folder and read back: a lost executor costs no recomputation."""
-    folder = new_folder(df.sparkSession, purpose)
-    df.write.options(**options).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """``df`` written below the shared folder and read back: a lost executor costs no recomputation.
+
+    The shuffle files of the write go as soon as it is done, since nothing reads them again.
+    """
+    return written(df, purpose, **options)[0]
+
+
+def written(df: DataFrame, purpose: str, **options: str) -> tuple[DataFrame, str]:
+    """As :func:`materialised`, with the folder, for :func:`discard`."""
+    spark = df.sparkSession
+    folder = new_folder(spark, purpose)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.options(**options).parquet(folder)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Delete folders of :func:`written` that no later step reads."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+_kept: dict[str, object] = {"stage": None}
+
+
+def per_stage(make: Callable, *args):
+    """``make(*args)``, which a Python worker keeps for all tasks of a stage and drops when it gets another's."""
+    _forget()
+    key = f"{make.__module__}.{make.__qualname__}{args!r}"
+    if key not in _kept:
+        _kept[key] = make(*args)
+    return _kept[key]
+
+
+def _forget() -> None:
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if _kept["stage"] != stage:
+        _kept.clear()
+        _kept["stage"] = stage
+
+
+@cache
+def _trim() -> Callable:
+    return getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", lambda _: 0)
+
+
+def release() -> None:
+    """Give unused memory back to the system: a worker that waits for its next stage should hold little."""
+    _forget()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -38,6 +96,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     for start, end in itertools.pairwise(edges):
         if end > start:
             yield batch.slice(start, end - start)
+    release()
 
 
 def by_slices(function, column: pa.Array, limit: int = SLICE_BYTES) -> pa.Array:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised
+from .common import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,11 +22,12 @@ def components(edges: DataFrame) -> DataFrame:
     """
     high, low = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     current = edges.where("a <> b").select(high, low).distinct()
-    current = materialised(current, "edges")
+    current, at = written(current, "edges")
     seen = _digest(current)
     while seen[0]:
-        current = materialised(_small_star(_large_star(current)), "edges")
-        now = _digest(current)
+        current, following = written(_small_star(_large_star(current)), "edges")
+        discard(edges.sparkSession, at)
+        at, now = following, _digest(current)
         if now == seen:
             break
         seen = now
