@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import warnings
 from collections.abc import Sequence
-from functools import cache
 
 import duckdb
 import numpy as np
@@ -20,12 +19,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_slices
+from .common import by_slices, per_stage
 from .pieces import PieceEncoder
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS_AT_ONCE = 20_000
 WORD_BYTES_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 18
 
 _CONTRACT = """
     WITH RECURSIVE state AS (
@@ -50,9 +50,8 @@ _CONTRACT = """
     SELECT tokens FROM state WHERE NOT open ORDER BY word"""
 
 _DECODE = """
-    SELECT doc, string_agg(piece, '') AS decoded
-    FROM (SELECT doc, place, piece FROM tokens JOIN vocabulary USING (id) ORDER BY doc, place)
-    GROUP BY doc ORDER BY doc"""
+    SELECT doc, string_agg(piece, '' ORDER BY place) AS decoded
+    FROM tokens JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc"""
 
 
 class Tables:
@@ -123,29 +122,37 @@ class Tables:
             out[i] = ids
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        """The bytes of each document, given the ids of all of them and how many each has."""
-        rows = pa.table(
-            {
-                "doc": pa.array(np.repeat(np.arange(len(counts), dtype=np.int32), counts)),
-                "place": pa.array(np.arange(len(ids), dtype=np.int64)),
-                "id": pa.array(ids.astype(np.int32)),
-            }
-        )
-        result = self._query("tokens", rows, _DECODE)
-        out = [b""] * len(counts)
-        for doc, decoded in zip(result.column("doc").to_pylist(), result.column("decoded").to_pylist()):
-            out[doc] = decoded.encode("latin-1")
-        return out
+        """The bytes of each document, given the ids of all of them and how many each has.
+
+        Each token decodes on its own, so tokens are decoded in runs of bounded number, whatever the documents' lengths.
+        """
+        document = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        parts: list[list[bytes]] = [[] for _ in counts]
+        for start in range(0, len(ids), TOKENS_AT_ONCE):
+            run = slice(start, start + TOKENS_AT_ONCE)
+            rows = pa.table(
+                {
+                    "doc": pa.array(document[run]),
+                    "place": pa.array(np.arange(len(ids[run]), dtype=np.int64)),
+                    "id": pa.array(ids[run].astype(np.int32)),
+                }
+            )
+            result = self._query("tokens", rows, _DECODE)
+            for doc, decoded in zip(result.column("doc").to_pylist(), result.column("decoded").to_pylist()):
+                parts[doc].append(decoded.encode("latin-1"))
+        return [b"".join(own) for own in parts]
 
 
-@cache
 def tables(path: str) -> Tables:
-    """One per Python worker, which Spark uses for many tasks."""
-    return Tables(path)
+    """One per Python worker and stage; Spark uses a worker for many tasks."""
+    return per_stage(Tables, path)
 
 
-@cache
 def encoder(path: str, pattern: str) -> PieceEncoder:
+    return per_stage(_encoder, path, pattern)
+
+
+def _encoder(path: str, pattern: str) -> PieceEncoder:
     return PieceEncoder(tables(path).encode_words, pattern)
 
 

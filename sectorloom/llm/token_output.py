@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import per_stage, slices
 from .pieces import PieceEncoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,8 +37,6 @@ SEGMENT_BYTES = 1 << 20
 # Count and width of selectors 0 to 13.
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
-# Selectors of a width that fewer ids fit are not tried: runs of them are too rare to save words.
-LEAST_SHARE = 0.25
 
 SEGMENTS = "part int, part_start long, doc_ids array<bigint>, counts array<bigint>, words binary, blocks binary"
 
@@ -58,7 +55,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     for number in range(len(SELECTORS) - 1, -1, -1):
         count, width = SELECTORS[number]
         fits = widths <= width
-        if np.count_nonzero(fits) < LEAST_SHARE * n:
+        if not fits.any():
             break
         stop = np.where(fits, np.int32(n), place)
         stop = np.minimum.accumulate(stop[::-1])[::-1]
@@ -128,9 +125,8 @@ def unpack(words: np.ndarray, blocks: np.ndarray, n: int, block: int = BLOCK) ->
     return ids
 
 
-@cache
 def _encoder(path: str) -> tuple[PieceEncoder, dict[str, int], re.Pattern]:
-    """One per Python worker, with the tokenizer's added tokens. Each match of its own pattern is encoded by it."""
+    """An encoder with the tokenizer's added tokens. Each match of its own pattern is encoded by it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
@@ -155,7 +151,7 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     A text is cut at the added tokens in it, as the tokenizer does; these have an id of their own, and only the
     stretches between them go to the pieces.
     """
-    pieces, added, pattern = _encoder(path)
+    pieces, added, pattern = per_stage(_encoder, path)
     if not any(pc.any(pc.match_substring(column, content)).as_py() for content in added):
         return pieces.encode(column)
     cut = [pattern.split(text or "") for text in column.to_pylist()]
