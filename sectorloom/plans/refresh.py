@@ -142,7 +142,10 @@ def build_coverage(store: Store, run: Run) -> None:
 
 
 def build_households(store: Store, run: Run) -> None:
-    """Each part of the build has its own kind of error; reading and writing the table is the first kind."""
+    """Each part of the build has its own kind of error, also where its rows fail while the mart is written.
+
+    Reading and writing the table is the first kind.
+    """
     regions, lgas = store.read("regions"), store.read("lga_with_shape")
     with error_flag(store, run, 0):
         reports = store.read("household_reports")
@@ -152,7 +155,7 @@ def build_households(store: Store, run: Run) -> None:
         rates = households.household_rates(reports)
     with error_flag(store, run, 3):
         named = households.with_names(rates, regions, lgas)
-    with error_flag(store, run, 0):
+    with error_flag(store, run, 0, [(0, reports), (2, rates), (3, named)]):
         detail = store.replace("household_detail", named)
     flags = households.quality_flags(detail, run.run_ts)
     store.record("quality_flags", flags, run.number, "households")
@@ -239,24 +242,35 @@ def preflight(store: Store, names: Sequence[str]) -> DataFrame:
 class error_flag:
     """Record a failed build as a quality flag, then let the error go on.
 
-    The flag is written outside the failed job and stays.
+    The flag is written outside the failed job and stays. Where the failed job computes several ``parts``, (kind, rows)
+    in the order in which they build on each other, the kind is that of the first whose rows fail on their own; if none
+    does, it is ``kind``. They are computed only after a failure, and nothing is kept of them.
     """
 
-    def __init__(self, store: Store, run: Run, kind: int):
-        self.store, self.run, self.kind = store, run, kind
+    def __init__(self, store: Store, run: Run, kind: int, parts: Sequence[tuple[int, DataFrame]] = ()):
+        self.store, self.run, self.kind, self.parts = store, run, kind, parts
+
+    def _failed(self) -> int:
+        for kind, rows in self.parts:
+            try:
+                rows.write.format("noop").mode("overwrite").save()
+            except Exception:  # noqa: BLE001 - the first error is the one that is raised and told
+                return kind
+        return self.kind
 
     def __enter__(self):
         return self
 
     def __exit__(self, kind, error, trace):
         if error is not None:
-            number = self.run.number + 50 + self.kind
+            failed = self._failed()
+            number = self.run.number + 50 + failed
             flag = self.store.spark.range(1).select(
                 F.lit(number).cast("bigint").alias("id"),
                 F.lit("processing_error").alias("error_alert_type"),
-                F.lit(ERRORS[self.kind] + str(error)).alias("description"),
+                F.lit(ERRORS[failed] + str(error)).alias("description"),
                 F.lit("").alias("resolution_remarks"),
             )
             rows = households.flag_columns(flag, self.run.run_ts)
-            self.store.record("quality_flags", rows, self.run.number, f"error-{self.kind}")
+            self.store.record("quality_flags", rows, self.run.number, f"error-{failed}")
         return False

@@ -188,6 +188,31 @@ def test_every_kind_of_processing_error(spark, inputs, tmp_path):
         assert len(found) == 1 and found[0].startswith(refresh.ERRORS[kind]), (kind, found)
 
 
+def test_the_kind_of_error_is_that_of_the_rows_that_fail(spark, inputs, tmp_path):
+    """Faults in the data, which show only while the mart is written, are filed under the part that computes them."""
+    reports = inputs["household_reports"]
+    largest = "* EXCEPT (toilettypea, toilettypeb), 2147483647 AS toilettypea, 2147483647 AS toilettypeb"
+    unread = "* EXCEPT (toilettypea), CAST(raise_error('unreadable') AS INT) AS toilettypea"
+    faults = {
+        0: {"household_reports": reports.selectExpr(*_split(unread))},
+        2: {"household_reports": reports.selectExpr(*_split(largest))},
+        3: {"regions": inputs["regions"].selectExpr("* EXCEPT (name)", "CAST(raise_error('no name') AS STRING) AS name")},
+    }
+    for kind, changed in faults.items():
+        store = FolderStore(spark, str(tmp_path / str(kind)), inputs={**inputs, **changed})
+        refresh.build_shapes(store, RUN)
+        with pytest.raises(Exception):
+            refresh.build_households(store, RUN)
+        (flag,) = store.read("quality_flags").collect()
+        assert flag["description"].startswith(refresh.ERRORS[kind]), (kind, flag["description"][:200])
+        assert not store.exists("household_detail")
+
+
+def _split(text):
+    first, _, rest = text.partition("), ")
+    return [first + ")", *rest.split(", ")]
+
+
 def test_a_failing_publish_keeps_the_old_mart(spark, tmp_path, monkeypatch):
     folder = FolderStore(spark, str(tmp_path))
     spark.sql("CREATE DATABASE IF NOT EXISTS t_swap")
