@@ -222,6 +222,14 @@ def _school_qc_keys(data: Inputs) -> DataFrame:
     return school_quality.failing_keys(data.presence(), data.schools())
 
 
+def _school_rejects(data: Inputs) -> DataFrame:
+    return schools.rejected_counts(data.dirty_enrollment)
+
+
+def _school_reject_counts(data: Inputs) -> DataFrame:
+    return schools.reject_counts(schools.rejected_counts(data.dirty_enrollment))
+
+
 def _school_toilet_share(data: Inputs) -> DataFrame:
     return school_quality.toilet_share(data.schools())
 
@@ -400,6 +408,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "school_combined": _school_combined,
     "school_qc_log": _school_qc_log,
     "school_qc_keys": _school_qc_keys,
+    "school_rejects": _school_rejects,
+    "school_reject_counts": _school_reject_counts,
     "school_toilet_share": _school_toilet_share,
     "school_water_share": _school_water_share,
     "school_uncoded_sources": _school_uncoded_sources,

@@ -533,7 +533,17 @@ def oracle_sql() -> dict[str, str]:
         "water_data",
     )
     flags = hh_flags()
+    rejects = """SELECT 'school_enrollment' AS table_name, schoolregnumber, column_name, value, 'not a number' AS reason
+        FROM (UNPIVOT dirty_enrollment ON totalgirls, totalboys, totalpupils INTO NAME column_name VALUE value)
+        WHERE TRY_CAST(value AS DOUBLE) IS NULL"""
     return {
+        "school_rejects": with_parts(rejects, "dirty_enrollment"),
+        "school_reject_counts": with_parts(
+            f"""SELECT table_name, column_name, reason, count(*) AS row_count,
+                       count(DISTINCT schoolregnumber) AS school_count
+                FROM ({rejects}) GROUP BY ALL""",
+            "dirty_enrollment",
+        ),
         "lga_shapes": with_parts("SELECT * FROM shaped", "shaped"),
         "unmatched_lga_names": with_parts(
             "SELECT lgacode, lganame FROM lgas"

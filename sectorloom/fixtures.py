@@ -278,6 +278,23 @@ INPUTS: dict[str, Emulated] = {
         },
         where="p_partkey % 17 <> 8",
     ),
+    # Enrollment as it comes in, with counts that are no numbers.
+    "dirty_enrollment": Emulated(
+        ("part",),
+        {
+            "schoolregnumber": SCHOOL,
+            "totalgirls": "CASE WHEN p_partkey % 29 = 0 THEN 'n/a' ELSE CAST(p_size AS STRING) END",
+            "totalboys": (
+                "CASE WHEN p_partkey % 31 = 0 THEN '1 200' WHEN p_partkey % 37 = 0 THEN NULL"
+                " ELSE ' ' || CAST(p_size AS STRING) || ' ' END"
+            ),
+            "totalpupils": (
+                "CASE WHEN p_partkey % 29 = 0 THEN '' WHEN p_partkey % 41 = 0 THEN CAST(p_size AS STRING) || 'x'"
+                " ELSE CAST(p_size AS STRING) || '.0' END"
+            ),
+        },
+        where="p_partkey % 17 <> 8",
+    ),
     "water_data": Emulated(
         ("events",),
         {"date_recorded": "ts", "region": "event_type", "functioning_percentage": "value"},

@@ -98,6 +98,8 @@ def build_schools(store: Store, run: Run) -> None:
         run.year,
     )
     store.replace(school_quality.KEY_TABLE, school_quality.failing_keys(presence, combined))
+    rejects = store.replace("school_rejects", schools.rejected_counts(sources["school_enrollment"]))
+    store.replace("reject_counts", schools.reject_counts(rejects))
     entries = school_quality.qc_log(presence, combined, run.run_ts)
     store.record("qc_log", entries, run.number, "schools")
 

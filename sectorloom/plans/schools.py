@@ -20,6 +20,8 @@ from ..sources.schemas import (
 )
 
 KEY = "schoolregnumber"
+# Pupil counts, which arrive as text.
+COUNTS = ("totalpupils", "totalgirls", "totalboys")
 
 
 def services_of_year(services: DataFrame, year: int) -> DataFrame:
@@ -59,12 +61,7 @@ def school_combined(
     )
     schools = _attach(
         schools,
-        enrollment.withColumns(
-            {
-                c: F.col(c).try_cast("double")
-                for c in ("totalpupils", "totalgirls", "totalboys")
-            }
-        ),
+        enrollment.withColumns({c: F.col(c).try_cast("double") for c in COUNTS}),
         {"total_pupils": "totalpupils", "girl_pupils": "totalgirls", "boy_pupils": "totalboys"},
         f"{KEY} string, totalpupils double, totalgirls double, totalboys double",
     )
@@ -85,6 +82,31 @@ def _attach(schools: DataFrame, source: DataFrame, take: dict[str, str], ddl: st
     return attach(schools, one_match(conform(source, columns), KEY, take, newest), KEY)
 
 
+def rejected_counts(enrollment: DataFrame) -> DataFrame:
+    """Every pupil count that is given but can't be read, which the mart takes as NULL, in one pass without a shuffle."""
+    found = [
+        F.when(
+            F.col(c).isNotNull() & F.col(c).try_cast("double").isNull(),
+            F.struct(
+                F.lit("school_enrollment").alias("table_name"),
+                F.col(KEY).alias(KEY),
+                F.lit(c).alias("column_name"),
+                F.col(c).cast("string").alias("value"),
+                F.lit("not a number").alias("reason"),
+            ),
+        )
+        for c in COUNTS
+    ]
+    return enrollment.select(F.inline(F.array_compact(F.array(*found))))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Rejected values per column and reason, and of how many schools."""
+    return rejects.groupBy("table_name", "column_name", "reason").agg(
+        F.count("*").alias("row_count"), F.countDistinct(KEY).alias("school_count")
+    )
+
+
 def assess(schools: DataFrame) -> DataFrame:
     """Indicators of a joined school row. Each step reads columns of the steps before."""
     return (

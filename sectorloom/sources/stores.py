@@ -43,6 +43,8 @@ QUALITY = (
     "water_share",
     "uncoded_sources",
     "no_toilet_type",
+    "school_rejects",
+    "reject_counts",
 )
 # Tables that grow by the rows of every run. A run's part is a partition of its own.
 LOGS = ("quality_flags", "qc_log")

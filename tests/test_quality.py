@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from sectorloom.plans import school_quality as quality
+from sectorloom.plans import schools
 from sectorloom.sources.schemas import SCHOOL_COMBINED, SCHOOL_FACILITIES, conform, names, run_number
 
 from .conftest import as_rows, as_set, padded, plan
@@ -147,3 +148,18 @@ def test_table_counts_and_null_profile(spark):
     assert len(profile) == 28
     assert profile["watertanks"] == (1, 4, 25.0)
     assert profile["classroomcount"] == (3, 4, 75.0)
+
+
+def test_unreadable_counts_are_kept_and_counted(spark):
+    rows = [("A", "12", "x", None), ("A", "1e2", "", " 7 "), (None, "--", "3", "4"), ("B", "5", "6", "1,000")]
+    df = spark.createDataFrame(rows, "schoolregnumber string, totalgirls string, totalboys string, totalpupils string")
+    rejects = schools.rejected_counts(df)
+    assert {(r["schoolregnumber"], r["column_name"], r["value"]) for r in rejects.collect()} == {
+        ("A", "totalboys", "x"), ("A", "totalboys", ""), (None, "totalgirls", "--"), ("B", "totalpupils", "1,000"),
+    }
+    counts = {r["column_name"]: (r["row_count"], r["school_count"]) for r in schools.reject_counts(rejects).collect()}
+    assert counts == {"totalboys": (2, 1), "totalgirls": (1, 0), "totalpupils": (1, 1)}
+    assert schools.rejected_counts(df.where("false")).collect() == []
+    assert "Exchange" not in plan(rejects)
+    numbers = df.selectExpr("schoolregnumber", *[f"try_cast({c} AS INT) AS {c}" for c in schools.COUNTS])
+    assert schools.rejected_counts(numbers).collect() == []
