@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable, Sequence
 from functools import cached_property
@@ -39,7 +40,9 @@ try:
     import corpus_pipeline
     import sectorloom.llm.queries as llm_queries
 except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "sectorloom.llm", "sectorloom.llm.queries"):
+    # Without the operators, or without a library that only they need, the other queries still work.
+    missing = error.name or ""
+    if missing.split(".")[0] == "sectorloom" and not missing.startswith("sectorloom.llm"):
         raise
     llm_queries = None
 
@@ -451,7 +454,10 @@ def _importable(run: Callable[[SparkSession, str], DataFrame]):
     """``run`` with Python workers that find this repository; a cluster gets the package as any other."""
 
     def with_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parent)
+        root, environment = str(Path(__file__).resolve().parent), spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+        if root not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
         return run(spark, sf_dir)
 
     return with_path

@@ -131,9 +131,10 @@ INPUTS: dict[str, Emulated] = {
                 " ELSE CAST(30 + l_partkey % 10 AS DOUBLE) END"
             ),
             "functionalitystatus": (
-                "CASE l_linenumber WHEN 1 THEN 'functional' WHEN 2 THEN 'functional_need_repair'"
-                " WHEN 3 THEN 'not_functional' WHEN 4 THEN 'abandoned' WHEN 5 THEN 'archived'"
-                " WHEN 6 THEN 'on_construction' ELSE NULL END"
+                "CASE WHEN s_nationkey IN (7, 8) AND l_shipdate < DATE '1996-01-01' THEN 'on_construction'"
+                " WHEN l_linenumber = 1 THEN 'functional' WHEN l_linenumber = 2 THEN 'functional_need_repair'"
+                " WHEN l_linenumber = 3 THEN 'not_functional' WHEN l_linenumber = 4 THEN 'abandoned'"
+                " WHEN l_linenumber = 5 THEN 'archived' WHEN l_linenumber = 6 THEN 'on_construction' END"
             ),
         },
         SUPPLIER_NATION,
@@ -299,7 +300,13 @@ INPUTS: dict[str, Emulated] = {
         ("events",),
         {"date_recorded": "ts", "region": "event_type", "functioning_percentage": "value"},
     ),
-    "source_data": Emulated(("events",), {"recorded_date": "ts", "metric": "value"}),
+    "source_data": Emulated(
+        ("events",),
+        {
+            "recorded_date": "ts + INTERVAL '1' DAY * CAST(event_id % 400 AS INT)",
+            "metric": "CASE WHEN event_id % 7 = 3 THEN NULL ELSE value END",
+        },
+    ),
     "lga_boundaries": Emulated(
         ("supplier",),
         {
