@@ -75,6 +75,8 @@ def search(docs: DataFrame, items: DataFrame, best: int = BEST) -> DataFrame:
     keyed = items.select("item_id", "text").withColumn("__row", F.monotonically_increasing_id())
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = -(-size // PASS_BYTES) or 1
+    if passes > 1:
+        keyed = materialised(keyed, "lexical-items")
     parts = []
     for number in range(passes):
         dealt = F.pmod(F.xxhash64("__row"), F.lit(passes)) == F.lit(number)
