@@ -40,15 +40,16 @@ def fingerprinted(df: DataFrame, text: str, name: str) -> DataFrame:
     Words are runs of letters and digits of the lower-cased text. A text of one to four words is one shingle, a
     text without words one shingle of itself. The empty text has the empty fingerprint.
     """
-    own = [f"__{name}_{step}" for step in ("words", "hashes", "lowest", "bins")]
-    words, hashes, lowest, bins = (F.col(x) for x in own)
+    own = [f"__{name}_{step}" for step in ("words", "hashes", "lowest", "filled", "bins")]
+    words, hashes, lowest, filled, bins = (F.col(x) for x in own)
     plain = F.coalesce(F.col(text), F.lit(""))
     found = F.filter(F.split(F.lower(plain), r"[^\p{L}\p{N}]+"), lambda word: word != "")
     steps = [
         (own[0], F.when((F.size(found) == 0) & (plain != ""), F.array(plain)).otherwise(found)),
         (own[1], F.sort_array(_shingle_hashes(words))),
         (own[2], F.filter(hashes, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(hashes, i - 1))))),
-        (own[3], _filled(lowest)),
+        (own[3], F.transform(lowest, _bin)),
+        (own[4], _densified(lowest, filled)),
         (name, F.array_join(F.transform(bins, _digits), "")),
     ]
     for step, value in steps:
@@ -68,17 +69,21 @@ def _bin(x: Column) -> Column:
     return F.shiftright(x, 64 - _BIN_BITS)
 
 
-def _filled(lowest: Column) -> Column:
-    """A hash per bin, from the ``lowest`` hashes of the filled bins in their order; empty if there is none."""
+def _densified(lowest: Column, filled: Column) -> Column:
+    """Per bin a number that ends in its bits, from the ``lowest`` hashes of the ``filled`` bins; empty if there is none."""
     every = F.sequence(F.lit(-BINS // 2), F.lit(BINS // 2 - 1))
-    own = F.transform(lowest, _bin)
 
-    def hash_of(empty: Column) -> Column:
-        order = F.transform(lowest, lambda x: F.struct(F.xxhash64(empty, _bin(x)).alias("o"), x.alias("x")))
-        place = F.array_position(own, empty)
-        return F.when(place > 0, F.get(lowest, (place - 1).cast("int"))).otherwise(F.array_min(order)["x"])
+    low = (1 << BITS) - 1
 
-    return F.when(F.size(lowest) > 0, F.transform(every, hash_of)).otherwise(F.array().cast("array<bigint>"))
+    def bits_of(place: Column) -> Column:
+        # The order of the filled bins for this one, with the bits that are wanted in place of its lowest.
+        def rank(x: Column) -> Column:
+            return F.xxhash64(place, _bin(x)).bitwiseAND(F.lit(~low)).bitwiseOR(x.bitwiseAND(F.lit(low)))
+
+        own = F.array_position(filled, place.cast("long"))
+        return F.when(own > 0, F.get(lowest, (own - 1).cast("int"))).otherwise(F.array_min(F.transform(lowest, rank)))
+
+    return F.when(F.size(lowest) > 0, F.transform(every, bits_of)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _digits(x: Column) -> Column:
@@ -122,16 +127,13 @@ def compared(docs: DataFrame) -> DataFrame:
     guest = F.struct(F.col("__before").alias("range"), F.lit(1).alias("guest"))
     seats = F.when(F.col("__before").isNull(), F.array(own)).otherwise(F.array(own, guest))
     seated = fingerprinted(marked, "text", "fingerprint").withColumn("seat", F.explode(seats))
-    order = W.partitionBy("seat.range").orderBy(
-        "seat.guest", F.col("doc_id").desc_nulls_last(), F.col("__tie").desc()
-    )
+    seated = seated.withColumns({"__seat": F.col("seat.range"), "__guest": F.col("seat.guest")})
+    order = W.partitionBy("__seat").orderBy("__guest", F.col("doc_id").desc_nulls_last(), F.col("__tie").desc())
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
-    following = (
-        seated.withColumn("__next_text", F.lead("text").over(order))
-        .withColumn("__next", F.lead("fingerprint").over(order))
-        .where("seat.guest = 0")
-    )
+    kept = seated.select("doc_id", "text", "fingerprint", "__copies", "__tie", "__seat", "__guest")
+    leads = {"__next_text": F.lead("text").over(order), "__next": F.lead("fingerprint").over(order)}
+    following = kept.withColumns(leads).where("__guest = 0")
     if copied:
         # All copies but the last are followed by one of themselves.
         is_last = F.col("__copy") == 1

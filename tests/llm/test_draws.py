@@ -197,10 +197,14 @@ def fingerprint_by_hand(text):
         return ""
     out = ""
     for place in range(-64, 64):
-        own = place
+        bits = lowest.get(place, 0) & 255
         if place not in lowest:
-            own = min(lowest, key=lambda x: spark_hash([x.to_bytes(8, "little", signed=True)], pair_seed(place)))
-        out += f"{lowest[own] & 255:02x}"
+            ranks = [
+                spark_hash([x.to_bytes(8, "little", signed=True)], pair_seed(place)) & ~255 | h & 255
+                for x, h in lowest.items()
+            ]
+            bits = min(ranks) & 255
+        out += f"{bits:02x}"
     return out
 
 
