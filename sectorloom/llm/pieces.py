@@ -18,11 +18,12 @@ import pyarrow as pa
 import regex
 
 from .common import ranges
-from .ngram_table import xxh64
 from .words import mixed, utf8
 
 _MARKS = frozenset(".,;:!?")
-_BASE = 0x9E3779B97F4A7C15
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# Longer runs of bytes get a hash without structure.
+_SHORT = 64
 _RUN_BYTES = 1 << 19
 _SLOTS = 1 << 22
 MAX_PIECES = 1_200_000
@@ -43,7 +44,8 @@ def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
 def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """128 bits of hash, as two columns, for each of several ascending runs of bytes.
 
-    One half is XXH64, the other a polynomial modulo 2**64: texts built to agree in one differ in the other.
+    Those of up to ``_SHORT`` bytes get two polynomials modulo 2**64. Longer ones get BLAKE2b, since words of some thousand
+    letters can be so regular that all such polynomials agree.
     """
     out = np.empty((len(starts), 2), np.uint64)
     i = 0
@@ -52,19 +54,25 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         j = max(i + 1, int(np.searchsorted(ends, low + _RUN_BYTES, "right")))
         high = int(ends[j - 1])
         if high - low > _RUN_BYTES:
-            out[i] = np.frombuffer(hashlib.blake2b(data[low:high].tobytes(), digest_size=16).digest(), np.uint64)
+            out[i] = _digest(data[low:high])
         else:
             begin, end = starts[i:j] - low, ends[i:j] - low
-            padded = np.concatenate([data[low:high], np.zeros(8, np.uint8)])
-            out[i:j, 0] = xxh64(padded, begin, end - begin)
+            values = data[low:high].astype(np.uint64) + np.uint64(1)
             sums = np.zeros(high - low + 1, np.uint64)
-            up, down = _powers(_BASE)
-            np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
-            out[i:j, 1] = mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+            for k, base in enumerate(_BASES):
+                up, down = _powers(base)
+                np.cumsum(values * up[: high - low], out=sums[1:])
+                out[i:j, k] = mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+            for k in np.flatnonzero(end - begin > _SHORT).tolist():
+                out[i + k] = _digest(data[starts[i + k] : ends[i + k]])
         i = j
     return out
 
 
+def _digest(run: np.ndarray) -> np.ndarray:
+    return np.frombuffer(hashlib.blake2b(run.tobytes(), digest_size=16).digest(), np.uint64)
+
+
 @cache
 def _bytes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes that begin a character that is surely no white space; ASCII ones; first bytes of two-byte ones.

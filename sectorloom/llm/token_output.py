@@ -54,12 +54,13 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     # From wide to narrow: a narrower selector holds at least as many ids, so the last that fits is the best.
     for number in range(len(SELECTORS) - 1, -1, -1):
         count, width = SELECTORS[number]
-        fits = widths <= width
-        if not fits.any():
+        at = np.flatnonzero(widths <= width)
+        if not len(at):
             break
-        stop = np.where(fits, np.int32(n), place)
-        stop = np.minimum.accumulate(stop[::-1])[::-1]
-        np.copyto(selector, number, where=stop >= np.minimum(place + np.int32(count), end))
+        # Where the run of fitting ids that each is in stops.
+        last = np.flatnonzero(np.append(np.diff(at) != 1, True))
+        stop = np.repeat(at[last] + 1, np.diff(last, prepend=-1))
+        selector[at[stop >= np.minimum(at + count, end[at])]] = number
     held = np.array([count for count, _ in SELECTORS] + [0, 1], np.int32)
     reach = np.minimum(held[selector], end - place)
     step, heads, at = (place + reach).tolist(), [], 0
