@@ -6,12 +6,13 @@ import datetime as dt
 import pytest
 
 from sectorloom import fixtures
-from sectorloom.plans import refresh, water_points
+from sectorloom.operators import sizing
+from sectorloom.plans import lookups, refresh, water_points
 from sectorloom.sources import shared
 from sectorloom.sources.schemas import MissingColumns
 from sectorloom.sources.stores import RAW, EmptyStage, FolderStore, TableStore, layer_of
 
-from .conftest import SMALL, as_rows, as_set
+from .conftest import SMALL, as_rows, as_set, plan
 
 RUN = refresh.Run(fixtures.AS_OF, fixtures.YEAR, fixtures.RUN_TS, 1, 10_000)
 LATER = dataclasses.replace(RUN, run_ts=fixtures.RUN_TS + dt.timedelta(days=1))
@@ -242,3 +243,53 @@ def test_a_missing_column_is_named(spark, inputs):
 def test_thresholds_have_no_default_from_join_limits():
     with pytest.raises(TypeError):
         refresh.Run(fixtures.AS_OF, fixtures.YEAR, fixtures.RUN_TS)
+
+
+def test_reports_are_spread_before_columns_are_derived(spark, inputs, tmp_path, monkeypatch):
+    """What is shuffled for the partitions of the detail are columns of the reports, and that once."""
+    written = []
+    stage = FolderStore._stage
+
+    def noted(self, location, df, *rest):
+        written.append(plan(df, "formatted"))
+        return stage(self, location, df, *rest)
+
+    monkeypatch.setattr(FolderStore, "_stage", noted)
+    store = FolderStore(spark, str(tmp_path), inputs=inputs)
+    steps = [step for step in refresh.STEPS if step.name in ("shapes", "admin lookup")]
+    refresh.refresh_all(store, RUN, steps)
+    admin = store.read("admin_lookup")
+    detail = water_points.detail_by_month(inputs["water_point_reports"], admin)
+    found = store.replace("water_point_detail", detail, ["month_timestamp"], spread=True)
+    assert as_rows(found.select(*detail.columns)) == as_rows(
+        water_points.water_point_detail(inputs["water_point_reports"], admin)
+    )
+    shuffles = [part for part in written[-1].split("\n\n") if ") Exchange\n" in part and "sysid" in part]
+    assert len(shuffles) == 1 and "REBALANCE_PARTITIONS_BY_COL" in shuffles[0]
+    for derived in ("wp_functional", "quarter_timestamp", "region_name", "meternumber"):
+        assert derived not in shuffles[0]
+
+
+def test_large_labels_are_joined_before_the_detail_is_spread(spark, inputs, monkeypatch):
+    reports, admin = inputs["water_point_reports"].limit(200), _admin(inputs)
+    wanted = as_rows(water_points.water_point_detail(reports, admin))
+    monkeypatch.setattr(sizing, "MAX_ROWS", 1)
+    detail = water_points.detail_by_month(reports, _admin(inputs))
+    assert as_rows(detail) == wanted
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(detail).split("SortMergeJoin")[0]
+
+
+def _admin(inputs):
+    shaped = lookups.lgas_with_shape(inputs["lgas"], inputs["lga_shapes"])
+    return lookups.admin_lookup(shaped, inputs["districts"], inputs["regions"])
+
+
+def test_reports_are_not_shuffled_to_find_their_supplier(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = fixtures.Source(spark, SMALL)
+        for name in ("water_point_reports", "household_reports", "coverage_reports"):
+            assert "SortMergeJoin" not in plan(source[name]), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
