@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_slices, per_stage
-from .pieces import PieceEncoder
+from .pieces import PieceEncoder, flat
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS_AT_ONCE = 20_000
@@ -153,7 +153,7 @@ def encoder(path: str, pattern: str) -> PieceEncoder:
 
 
 def _encoder(path: str, pattern: str) -> PieceEncoder:
-    return PieceEncoder(tables(path).encode_words, pattern)
+    return PieceEncoder(lambda words: flat(tables(path).encode_words(words)), pattern)
 
 
 def binary(ids: np.ndarray, counts: np.ndarray) -> pa.Array:

@@ -110,14 +110,27 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.append(starts[1:], len(data))[: len(starts)]
 
 
+def flat(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists one after the other, and how many each has."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Where each different key is first."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    ordered = keys[order]
+    return order[np.append(True, (ordered[1:] != ordered[:-1]).any(1))]
+
+
 class PieceEncoder:
-    """Ids of texts; ``encode_words`` gives the ids of each of several matches of ``pattern``.
+    """Ids of texts; ``encode_words`` gives the ids of several matches of ``pattern`` as :func:`flat` does.
 
     Pieces are known by 128 bits of hash. When the cache holds ``MAX_PIECES`` pieces or ``MAX_IDS`` ids, those that
     were used once go, and more of the rare ones if that leaves too many, so memory does not follow the corpus.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], Sequence[Sequence[int]]], pattern: str):
+    def __init__(self, encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], pattern: str):
         self.encode_words = encode_words
         self.pattern = regex.compile(pattern)
         self._keep(np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.int32))
@@ -148,17 +161,16 @@ class PieceEncoder:
             code = self.table[slots]
             taken = code >= 0
             at, slots, code = at[taken], slots[taken], code[taken]
-            same = (self.keys[code] == keys[at]).all(1)
+            same = (self.keys[code, 0] == keys[at, 0]) & (self.keys[code, 1] == keys[at, 1])
             out[at[same]] = code[same]
             at, slots = at[~same], (slots[~same] + 1) & (_SLOTS - 1)
         return out
 
-    def _add(self, keys: np.ndarray, ids: Sequence[Sequence[int]]) -> None:
-        first, sizes = len(self.keys), [len(own) for own in ids]
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, sum(sizes))
+    def _add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.keys)
         self.keys = np.concatenate([self.keys, keys])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, ids])
         self.used = np.concatenate([self.used, np.zeros(len(keys), np.int64)])
         self._place(first)
 
@@ -201,8 +213,8 @@ class PieceEncoder:
         return self.pattern.findall(piece)
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
-        _, first = np.unique(keys, axis=0, return_index=True)
-        pieces = [data[s:e].tobytes().decode() for s, e in zip(starts[first].tolist(), ends[first].tolist())]
+        first, text = _distinct(keys), data.tobytes()
+        pieces = [text[s:e].decode() for s, e in zip(starts[first].tolist(), ends[first].tolist())]
         found = [self._words(piece) for piece in pieces]
         words = list(dict.fromkeys(itertools.chain.from_iterable(found)))
         raw = [word.encode() for word in words]
@@ -211,12 +223,12 @@ class PieceEncoder:
         word_keys = hash_runs(joined, np.concatenate([[0], stops[:-1]]), stops)
         unknown = np.flatnonzero(self._find(word_keys) < 0)
         if len(unknown):
-            self._add(word_keys[unknown], self.encode_words([words[i] for i in unknown.tolist()]))
+            self._add(word_keys[unknown], *self.encode_words([words[i] for i in unknown.tolist()]))
         made = [i for i, own in enumerate(found) if len(own) > 1]
         if made:
             code = dict(zip(words, self._find(word_keys).tolist()))
-            ids = []
-            for i in made:
-                parts = [code[word] for word in found[i]]
-                ids.append(np.concatenate([self.ids[self.starts[c] : self.starts[c + 1]] for c in parts]))
-            self._add(keys[first[made]], ids)
+            parts = np.array([code[word] for i in made for word in found[i]], np.int64)
+            number = np.array([len(found[i]) for i in made])
+            size = self.starts[parts + 1] - self.starts[parts]
+            ids = self.ids[ranges(self.starts[parts], size)]
+            self._add(keys[first[made]], ids, np.add.reduceat(size, np.cumsum(number) - number))

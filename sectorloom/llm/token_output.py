@@ -27,12 +27,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import per_stage, slices
-from .pieces import PieceEncoder
+from .pieces import PieceEncoder, flat
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 BLOCK = 1024
 SEGMENT_BYTES = 1 << 20
+WORDS_AT_ONCE = 256
 
 # Count and width of selectors 0 to 13.
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -50,17 +51,9 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     end = np.minimum((place // block + 1) * block, n).astype(np.int32)
     selector = np.full(n, ESCAPE, np.uint8)
     widths = np.frexp(ids.astype(np.float64))[1] if n and ids.max() < 2**53 else _widths(ids)
-    widths = widths.astype(np.int32)
     # From wide to narrow: a narrower selector holds at least as many ids, so the last that fits is the best.
-    for number in range(len(SELECTORS) - 1, -1, -1):
-        count, width = SELECTORS[number]
-        at = np.flatnonzero(widths <= width)
-        if not len(at):
-            break
-        # Where the run of fitting ids that each is in stops.
-        last = np.flatnonzero(np.append(np.diff(at) != 1, True))
-        stop = np.repeat(at[last] + 1, np.diff(last, prepend=-1))
-        selector[at[stop >= np.minimum(at + count, end[at])]] = number
+    for number, most in _widest(widths.astype(np.uint8), block):
+        selector[most <= SELECTORS[number][1]] = number
     held = np.array([count for count, _ in SELECTORS] + [0, 1], np.int32)
     reach = np.minimum(held[selector], end - place)
     step, heads, at = (place + reach).tolist(), [], 0
@@ -78,15 +71,39 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
         of_kind = np.flatnonzero(kind == number)
         if not len(of_kind):
             continue
-        taken = reach[head[of_kind]]
+        begin = head[of_kind]
+        taken, payload = reach[begin], np.zeros(len(begin), np.uint64)
         for k in range(int(taken.max())):
-            value = np.where(k < taken, padded[head[of_kind] + k], np.uint64(0))
-            words[first[of_kind]] |= value << np.uint64(k * width)
+            payload |= np.where(k < taken, padded[begin + k], np.uint64(0)) << np.uint64(k * width)
+        words[first[of_kind]] |= payload
     escaped = kind == ESCAPE
     words[first[escaped] + 1] = ids[head[escaped]]
     return words.astype("<u8"), first[np.searchsorted(head, np.arange(0, n, block))].astype("<u4")
 
 
+def _widest(widths: np.ndarray, block: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Per selector, the last first: the greatest width among as many ids from each on as it holds, within the block."""
+    n, longest = len(widths), SELECTORS[0][0]
+    # Nothing follows a block but zeros, which fit everywhere.
+    rows = np.zeros((-(-n // block), block + longest), np.uint8)
+    whole = np.zeros(len(rows) * block, np.uint8)
+    whole[:n] = widths
+    rows[:, :block] = whole.reshape(-1, block)
+
+    def joined(level: np.ndarray, by: int) -> np.ndarray:
+        out = level.copy()
+        np.maximum(level[:-by], level[by:], out=out[:-by])
+        return out
+
+    level, reached = rows.ravel(), 1
+    for number in range(len(SELECTORS) - 1, -1, -1):
+        count = SELECTORS[number][0]
+        while 2 * reached <= count:
+            level, reached = joined(level, reached), 2 * reached
+        most = joined(level, count - reached) if count > reached else level
+        yield number, most.reshape(rows.shape)[:, :block].reshape(-1)[:n]
+
+
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits of each id, exact beyond the integers that doubles hold."""
     high = np.frexp((ids >> np.uint64(32)).astype(np.float64))[1]
@@ -127,7 +144,11 @@ def unpack(words: np.ndarray, blocks: np.ndarray, n: int, block: int = BLOCK) ->
 
 
 def _encoder(path: str) -> tuple[PieceEncoder, dict[str, int], re.Pattern]:
-    """An encoder with the tokenizer's added tokens. Each match of its own pattern is encoded by it."""
+    """An encoder with the tokenizer's added tokens. Each match of its own pattern is encoded by it.
+
+    Matches of letters, with or without a space before them, are given to it many at once, as lines: a line feed
+    between two of them is a match of its own, and no token of letters holds its byte. The other matches go one by one.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
 
@@ -139,8 +160,31 @@ def _encoder(path: str) -> tuple[PieceEncoder, dict[str, int], re.Pattern]:
         added[token.content] = number
     longest_first = sorted(added, key=len, reverse=True)
 
-    def encode_words(words: list[str]) -> list[list[int]]:
-        return [found.ids for found in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def each(texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    feed = each(["\n"])[0]
+
+    def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        letters = np.array([word[word[0] == " " :].isalpha() for word in words], bool)
+        lined = np.flatnonzero(letters).tolist() if len(feed) == 1 else []
+        lines = [
+            "".join([words[i] + "\n" for i in lined[at : at + WORDS_AT_ONCE]])
+            for at in range(0, len(lined), WORDS_AT_ONCE)
+        ]
+        ids, _ = flat(each(lines))
+        ends = np.flatnonzero(ids == feed[0])
+        if len(ends) != len(lined) or len(lined) == 0:
+            return flat(each(words))
+        sizes = np.diff(ends, prepend=-1) - 1
+        alone, lengths = flat(each([words[i] for i in np.flatnonzero(~letters).tolist()]))
+        # Both kinds back in the order of the words.
+        counts = np.empty(len(words), np.int64)
+        counts[letters], counts[~letters] = sizes, lengths
+        of_letters = np.repeat(letters, counts)
+        out = np.empty(len(of_letters), np.int32)
+        out[of_letters], out[~of_letters] = np.delete(ids, ends), alone
+        return out, counts
 
     pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
     return PieceEncoder(encode_words, public_tokenizers.PATTERN), added, pattern

@@ -198,3 +198,56 @@ def test_rows_without_ids_are_spread_over_buckets(spark):
     digest = "conv(substring(md5(encode(concat_ws(':', '17', coalesce(string(doc_id), ''), text_crc32, size), 'UTF-8')), 1, 8), 16, 10)"
     buckets = placed.selectExpr(f"floor(bigint({digest}) * 40 / 4294967296) AS b").groupBy("b").count()
     assert max(r["count"] for r in buckets.collect()) < 300
+
+
+def test_letter_words_are_encoded_many_at_once(monkeypatch):
+    """They give the ids that each has alone, next to words with other signs, which stay alone."""
+    import tokenizers
+
+    handed = []
+
+    class Noted:
+        def __init__(self, whole):
+            self.whole = whole
+
+        def __getattr__(self, name):
+            return getattr(self.whole, name)
+
+        def encode_batch_fast(self, texts, **options):
+            handed.append(len(texts))
+            return self.whole.encode_batch_fast(texts, **options)
+
+        @staticmethod
+        def from_file(path):
+            return Noted(whole.from_file(path))
+
+    whole = tokenizers.Tokenizer
+    monkeypatch.setattr(tokenizers, "Tokenizer", Noted)
+    path = public_tokenizers.path(token_output.TOKENIZER)
+    encoder, _, _ = token_output._encoder(path)
+    letters = [f"{gap}{a}{b}ölaй漢字ª" for gap in ("", " ") for a in "abcdefghijklmnopqrstuvwxyz" for b in "äßçдλאب中ｱʰ"]
+    words = letters + ["'s", " 12", "\n", " \n\n", "!", " ", " ", "á", "  x", "漢", " x"]
+    words = words[::-1] + words[:300]
+    ids, counts = encoder.encode_words(words)
+    tokenizer = whole.from_file(path)
+    alone = [tokenizer.encode(word, add_special_tokens=False).ids for word in words]
+    assert counts.tolist() == [len(own) for own in alone]
+    assert ids.tolist() == [i for own in alone for i in own]
+    assert max(handed) < 30 < len(words)
+    for few in ([], ["!"], ["word"], ["!", "word"]):
+        ids, counts = encoder.encode_words(few)
+        alone = [tokenizer.encode(word, add_special_tokens=False).ids for word in few]
+        assert (ids.tolist(), counts.tolist()) == ([i for own in alone for i in own], [len(own) for own in alone])
+
+
+def test_selectors_hold_as_many_ids_as_fit():
+    """Against the widths of every window, also in blocks shorter than a word and at their ends."""
+    rng = np.random.default_rng(3)
+    for block in (1, 7, 64, 1024):
+        widths = rng.integers(0, 65, 2 * block + 5).astype(np.uint8)
+        for number, most in token_output._widest(widths, block):
+            count = token_output.SELECTORS[number][0]
+            wanted = [
+                max(widths[i : min(i + count, (i // block + 1) * block)].tolist()) for i in range(len(widths))
+            ]
+            assert most.tolist() == wanted
