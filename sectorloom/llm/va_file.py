@@ -5,21 +5,24 @@ exactly. Bounds of the inner product follow from the cells alone. A first scan o
 the k-th best lower bound over all chunks. A second scan reads exact vectors in the order of their best
 possible score and stops when no unread cell can reach the k-th result.
 
-Queries meet the chunks in blocks: each pair of a chunk and a block is one row and one unit of work, of bounded
-size whatever the tables hold.
+Queries come in passes of bounded bytes, each of which scans the chunks twice. The queries of a pass are broadcast and
+meet the chunks in blocks, and a task keeps the k best of what it has scanned for each of them. So no pair of a
+chunk and a query is written, joined or sent anywhere, and neither the driver nor a task holds more than a pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialised
+from .common import materialised, release, written
 
 SCALE = 256
 K = 5
@@ -27,8 +30,13 @@ QUERY_STEP = 50
 CELLS = 32
 CHUNK_ROWS = 4096
 BLOCK_QUERIES = 512
+# What a task holds for the queries of a pass: their components and their results.
+PASS_BYTES = 16 << 20
+# Chunks in a file of the approximation file.
+FILE_CHUNKS = 4
 
-_PACKED = "n int, dims int, ids binary, cells binary, exact binary, low long, width long"
+_NEAREST = "query_id long, vec_id long, score long"
+_PACKED = "dims int, ids binary, cells binary, exact binary"
 
 
 def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -51,6 +59,7 @@ def top_k(
     scale: int = SCALE,
     chunk_rows: int = CHUNK_ROWS,
     block_queries: int = BLOCK_QUERIES,
+    pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for every row whose id ``query_step`` divides.
 
@@ -63,86 +72,116 @@ def top_k(
     # More than k equal rows can't all be among k results.
     copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("copy")
     vectors = materialised(counted.select("vec_id", "vec", copies), "vectors")
-    total, low, high = vectors.agg(
-        F.count("*"), F.min(F.array_min("vec")), F.max(F.array_max("vec"))
+    asks = (F.col("vec_id") % query_step == 0) & (F.col("copy") == 1)
+    total, low, high, asking, components = vectors.agg(
+        F.count("*"),
+        F.min(F.array_min("vec")),
+        F.max(F.array_max("vec")),
+        F.count_if(asks),
+        F.sum(F.when(asks, F.size("vec"))),
     ).first()
     chunks = max(1, -(-total // chunk_rows))
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // CELLS))
+    grid = _grid(low or 0, high or 0)
     dims = F.size("vec").alias("dims")
     place = F.xxhash64("vec_id", "vec", "copy")
     row = F.struct("vec_id", "vec")
     by_chunk = (
         vectors.groupBy(dims, F.pmod(place, F.lit(chunks)).alias("chunk"))
         .agg(F.collect_list(row).alias("rows"))
-        .repartition("dims", "chunk")
-    )
-    va_file = materialised(
-        by_chunk.mapInArrow(_packer(low, width), f"chunk long, {_PACKED}"), "va-file"
+        .repartition(-(-chunks // FILE_CHUNKS), "dims", "chunk")
     )
-    blocks = max(1, -(-total // (query_step * block_queries)))
+    va_file = materialised(by_chunk.mapInArrow(_packer(grid), f"chunk long, {_PACKED}"), "va-file")
+    passes = max(1, -(-((components or 0) * 8 + asking * k * 16) // pass_bytes))
+    blocks = max(passes, -(-asking // block_queries))
     by_block = (
-        vectors.where((F.col("vec_id") % query_step == 0) & (F.col("copy") == 1))
+        vectors.where(asks)
         .groupBy(dims, F.pmod(place, F.lit(blocks)).alias("chunk"))
         .agg(F.collect_list(row).alias("rows"))
     )
     queries = materialised(
-        by_block.mapInArrow(_packer(low, width), f"chunk long, {_PACKED}").select(
-            "dims",
-            F.col("chunk").alias("block"),
-            F.col("ids").alias("query_ids"),
-            F.col("exact").alias("queries"),
+        by_block.mapInArrow(_packer(grid), f"chunk long, {_PACKED}").select(
+            "dims", F.col("chunk").alias("block"), "ids", "exact"
         ),
         "queries",
     )
-    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>"))
-    pairs = queries.withColumn("chunk", every_chunk)
-    approximate = va_file.select("dims", "chunk", "ids", "cells", "low", "width")
-    lower = pairs.join(approximate, ["dims", "chunk"]).mapInArrow(
-        _lower_bounds(k), "dims int, block long, query_id long, bound long"
+    folders = []
+    for number in range(passes):
+        own = queries.where(F.pmod("block", F.lit(passes)) == number).select("dims", "ids", "exact")
+        folders.append(_one_pass(va_file, own, grid, k))
+    nearest = embeddings.sparkSession.read.schema(_NEAREST).parquet(*folders)
+    return _best(nearest, k).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    ranked = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+
+
+def _one_pass(va_file: DataFrame, queries: DataFrame, grid: Grid, k: int) -> str:
+    """The folder of (query_id, vec_id, score), the k best rows for each of some packed queries."""
+    context = va_file.sparkSession.sparkContext
+    blocks = [(dims, bytes(ids), bytes(exact)) for dims, ids, exact in queries.collect()]
+    asked = context.broadcast(blocks)
+    lower = va_file.select("dims", "ids", "cells").mapInArrow(
+        _lower_bounds(asked, grid, k), "dims int, query_id long, bound long"
     )
     best_first = W.partitionBy("dims", "query_id").orderBy(F.desc("bound"))
     kth = (
         lower.withColumn("__nth", F.row_number().over(best_first))
-        .where(F.col("__nth") <= k)
-        .groupBy("dims", "block", "query_id")
-        .agg(F.when(F.count("*") == k, F.min("bound")).alias("bound"))
-        .groupBy("dims", "block")
-        .agg(F.collect_list(F.struct("query_id", "bound")).alias("bounds"))
-    )
-    read = va_file.select("dims", "chunk", "ids", "cells", "exact", "low", "width")
-    found = (
-        pairs.join(kth, ["dims", "block"])
-        .join(read, ["dims", "chunk"])
-        .mapInArrow(_exact_scores(k), "query_id long, vec_id long, score long")
+        .where(F.col("__nth") == k)
+        .select("dims", "query_id", "bound")
     )
-    ranked = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(ranked))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+    known = {(dims, query): bound for dims, query, bound in materialised(kth, "bounds").collect()}
+    bounds = [
+        np.array([known.get((dims, x), _NONE) for x in np.frombuffer(ids, "<i8").tolist()], np.int64)
+        for dims, ids, _ in blocks
+    ]
+    needed = context.broadcast(bounds)
+    found = va_file.select("dims", "ids", "cells", "exact").mapInArrow(
+        _exact_scores(asked, needed, grid, k), _NEAREST
     )
+    folder = written(_best(found, k).drop("rank"), "nearest")[1]
+    asked.destroy()
+    needed.destroy()
+    return folder
+
 
+class Grid(NamedTuple):
+    """Cells of ``width`` values from ``low`` up; the narrowest type of a component; no corner is beyond ``most``."""
 
-def _packer(low: int, width: int):
+    low: int
+    width: int
+    kind: str
+    most: int
+
+    def bounded(self, dims: int) -> bool:
+        """Whether bounds hold: no sum of so many products leaves 64 bits."""
+        return dims * self.most**2 < 1 << 62
+
+
+def _grid(low: int, high: int) -> Grid:
+    width = max(1, -(-(high - low + 1) // CELLS))
+    kinds = ("<i2", "<i4", "<i8")
+    kind = next(x for x in kinds if np.iinfo(x).min <= low and high <= np.iinfo(x).max)
+    return Grid(low, width, kind, max(abs(low), abs(high)) + width)
+
+
+def _packer(grid: Grid):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for dims, chunk, rows in zip(*(batch.column(c) for c in ("dims", "chunk", "rows"))):
                 members = rows.values
                 ids = members.field("vec_id").to_numpy(zero_copy_only=False).astype("<i8")
                 flat = members.field("vec").flatten().to_numpy(zero_copy_only=False).astype("<i8")
-                cells = ((flat - low) // width).astype(np.uint8)
+                cells = ((flat - grid.low) // grid.width).astype(np.uint8)
                 yield pa.RecordBatch.from_pylist(
                     [
                         {
                             "chunk": chunk.as_py(),
-                            "n": len(ids),
                             "dims": dims.as_py(),
                             "ids": ids.tobytes(),
                             "cells": cells.tobytes(),
-                            "exact": flat.tobytes(),
-                            "low": low,
-                            "width": width,
+                            "exact": flat.astype(grid.kind).tobytes(),
                         }
                     ],
                     schema=_PACKED_ARROW,
@@ -154,104 +193,180 @@ def _packer(low: int, width: int):
 _PACKED_ARROW = pa.schema(
     [
         ("chunk", pa.int64()),
-        ("n", pa.int32()),
         ("dims", pa.int32()),
         ("ids", pa.binary()),
         ("cells", pa.binary()),
         ("exact", pa.binary()),
-        ("low", pa.int64()),
-        ("width", pa.int64()),
     ]
 )
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows as dictionaries, with their ids, query matrix and the lowest corner of every cell."""
+_NONE = np.iinfo(np.int64).min + 1
+_MOST = np.iinfo(np.int64).max
+_SLAB = 64
+
+
+class Block:
+    """Queries of one length, with what a task has found for them."""
+
+    def __init__(self, dims: int, ids: bytes, exact: bytes, grid: Grid):
+        self.dims = dims
+        self.ids = np.frombuffer(ids, "<i8")
+        self.queries = np.frombuffer(exact, grid.kind).reshape(len(self.ids), dims).astype(np.int64)
+
+
+def _blocks(asked: Broadcast, grid: Grid) -> list[Block]:
+    return [Block(*x, grid) for x in asked.value]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], grid: Grid) -> Iterator[tuple]:
+    """The length, ids and exact vectors, if any, of each chunk, and the lowest corner of every cell."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-            dims = row["dims"]
-            ids = np.frombuffer(row["ids"], "<i8")
-            query_ids = np.frombuffer(row["query_ids"], "<i8")
-            queries = np.frombuffer(row["queries"], "<i8").reshape(len(query_ids), dims)
+            dims, ids = row["dims"], np.frombuffer(row["ids"], "<i8")
             cells = np.frombuffer(row["cells"], np.uint8).reshape(len(ids), dims)
-            yield row, ids, query_ids, queries, row["low"] + row["width"] * cells.astype(np.int64)
+            exact = np.frombuffer(row["exact"], grid.kind).reshape(len(ids), dims) if "exact" in row else None
+            yield dims, ids, grid.low + grid.width * cells.astype(np.int64), exact
+    release()
 
 
 def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """left @ right.T as 64-bit integers; floats only where every partial sum is exact in them."""
+    """left @ right.T; as floats only where every partial sum is exact in them."""
     largest = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * left.shape[1]
-    for kind, exact_below in ((np.float32, 2.0**24), (np.float64, 2.0**53)):
+    for kind, exact_below in _EXACT_BELOW.items():
         if largest < exact_below:
-            return (left.astype(kind) @ right.astype(kind).T).astype(np.int64)
+            return left.astype(kind) @ right.astype(kind).T
     return left @ right.T
 
 
+_EXACT_BELOW = {np.float32: 2**24, np.float64: 2**53}
+
+
+def _reach(products: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the products that are ``least`` of their row or more."""
+    if products.dtype.kind == "f":  # least in their type: all of them are within the bounds
+        most = _EXACT_BELOW[products.dtype.type]
+        least = np.clip(least, -most, most).astype(products.dtype)
+    return np.nonzero(products >= least[:, None])
+
+
 def _bounds(queries: np.ndarray, corners: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """Scores at the lowest corner, and what the rest of a cell can take from or add to them, per query."""
     above, below = np.maximum(queries, 0).sum(1), np.minimum(queries, 0).sum(1)
     return _products(queries, corners), (width - 1) * below, (width - 1) * above
 
 
-def _lower_bounds(k: int):
+def _lower_bounds(asked: Broadcast, grid: Grid, k: int):
+    """The k best lower bounds of each query among the chunks of a task."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, query_ids, queries, corners in _pairs(batches):
-            corner, less, _ = _bounds(queries, corners, row["width"])
-            bounds = np.where(ids[None, :] == query_ids[:, None], _NONE, corner + less[:, None])
-            top = -np.sort(np.partition(-bounds, min(k, len(ids)) - 1, axis=1)[:, :k], axis=1)
+        blocks = _blocks(asked, grid)
+        tops = [np.full((len(x.ids), k), _NONE) for x in blocks]
+        for dims, ids, corners, _ in _chunks(batches, grid):
+            for block, top in zip(blocks, tops):
+                if block.dims == dims and grid.bounded(dims):
+                    _raise(top, block, ids, *_bounds(block.queries, corners, grid.width)[:2])
+        for block, top in zip(blocks, tops):
             kept = np.nonzero(top > _NONE)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(kept[0]), row["dims"], np.int32)),
-                    pa.array(np.full(len(kept[0]), row["block"], np.int64)),
-                    pa.array(query_ids[kept[0]]),
+                    pa.array(np.full(len(kept[0]), block.dims, np.int32)),
+                    pa.array(block.ids[kept[0]]),
                     pa.array(top[kept]),
                 ],
-                names=["dims", "block", "query_id", "bound"],
+                names=["dims", "query_id", "bound"],
             )
 
     return scan
 
 
-_NONE = np.iinfo(np.int64).min + 1
-_SLAB = 64
+def _raise(top: np.ndarray, block: Block, ids: np.ndarray, corner: np.ndarray, less: np.ndarray) -> None:
+    """Put the lower bounds ``corner + less`` of a chunk that are among a query's best into its row of ``top``."""
+    least = np.where(top[:, -1] > _NONE, top[:, -1] - less + 1, _MOST)
+    short = np.flatnonzero(top[:, -1] == _NONE)
+    if len(short):  # every row but the query's own may enter, k of them at most
+        some = corner[short]
+        some[block.ids[short][:, None] == ids[None, :]] = _lowest(some.dtype)
+        columns = np.argpartition(some, -min(k := top.shape[1], len(ids)), axis=1)[:, -k:]
+        rows, columns = np.repeat(short, columns.shape[1]), columns.ravel()
+        _merge(top, *_others(block, ids, rows, columns), corner, less)
+    _merge(top, *_others(block, ids, *_reach(corner, least)), corner, less)
+
+
+def _lowest(kind: np.dtype):
+    return -np.inf if kind.kind == "f" else np.iinfo(kind).min
 
 
-def _exact_scores(k: int):
+def _others(block: Block, ids: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the pairs of a query and a row of its own id."""
+    other = block.ids[rows] != ids[columns]
+    return rows[other], columns[other]
+
+
+def _merge(top: np.ndarray, rows: np.ndarray, columns: np.ndarray, corner: np.ndarray, less: np.ndarray) -> None:
+    if not len(rows):
+        return
+    k, touched = top.shape[1], np.unique(rows)
+    rows_of = np.concatenate([np.repeat(touched, k), rows])
+    values = np.concatenate([top[touched].ravel(), corner[rows, columns].astype(np.int64) + less[rows]])
+    order = np.lexsort((-values, rows_of))
+    starts = np.flatnonzero(np.diff(rows_of[order], prepend=-1))
+    top[touched] = values[order][starts[:, None] + np.arange(k)]
+
+
+def _exact_scores(asked: Broadcast, bounds: Broadcast, grid: Grid, k: int):
+    """The k best rows of each query among the chunks of a task."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, query_ids, queries, corners in _pairs(batches):
-            corner, _, more = _bounds(queries, corners, row["width"])
-            best = corner + more[:, None]
-            exact = np.frombuffer(row["exact"], "<i8").reshape(len(ids), row["dims"])
-            needed = {b["query_id"]: b["bound"] for b in row["bounds"]}
-            out = []
-            for i, query_id in enumerate(query_ids.tolist()):
-                bound = needed.get(query_id)
-                open_cells = (best[i] >= (_NONE if bound is None else bound)) & (ids != query_id)
-                out.append((query_id, *_search(queries[i], exact, best[i], ids, np.flatnonzero(open_cells), k)))
-            counts = [len(found) for _, found, _ in out]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat([x[0] for x in out], counts).astype(np.int64)),
-                    pa.array(np.concatenate([x[1] for x in out]).astype(np.int64)),
-                    pa.array(np.concatenate([x[2] for x in out]).astype(np.int64)),
-                ],
-                names=["query_id", "vec_id", "score"],
-            )
+        blocks = _blocks(asked, grid)
+        needed = [x.copy() for x in bounds.value]
+        results: list[dict] = [{} for _ in blocks]
+        for dims, ids, corners, exact in _chunks(batches, grid):
+            for block, kth, result in zip(blocks, needed, results):
+                if block.dims == dims:
+                    _read(block, kth, result, ids, corners, exact, grid, k)
+        for block, result in zip(blocks, results):
+            counts = [len(found) for found, _ in result.values()]
+            if counts:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(block.ids[list(result)], counts)),
+                        pa.array(np.concatenate([found for found, _ in result.values()])),
+                        pa.array(np.concatenate([scores for _, scores in result.values()])),
+                    ],
+                    names=["query_id", "vec_id", "score"],
+                )
 
     return scan
 
 
-def _search(query, exact, best, ids, cells, k):
-    """Ids and scores of the k best of ``cells``, read in slabs from the highest possible score down."""
+def _read(block, kth, result, ids, corners, exact, grid, k):
+    """Search a chunk for a block: ``kth`` is what a row must reach, ``result`` the best so far by query."""
+    if grid.bounded(block.dims):
+        corner, _, more = _bounds(block.queries, corners, grid.width)
+        rows, columns = _reach(corner, np.where(kth > _NONE, kth - more, _NONE))
+    else:
+        rows, columns = np.indices((len(block.ids), len(ids))).reshape(2, -1)
+    rows, columns = _others(block, ids, rows, columns)
+    starts = np.flatnonzero(np.diff(rows, prepend=-1))
+    for start, cells in zip(starts.tolist(), np.split(columns, starts[1:])):
+        i = int(rows[start])
+        best = corner[i].astype(np.int64) + more[i] if grid.bounded(block.dims) else np.full(len(ids), _MOST)
+        result[i] = _search(block.queries[i], exact, best, ids, cells, k, *result.get(i, ()))
+        if len(result[i][1]) == k:
+            kth[i] = max(kth[i], result[i][1][-1])
+
+
+def _search(query, exact, best, ids, cells, k, found=np.empty(0, np.int64), scores=np.empty(0, np.int64)):
+    """Ids and scores of the k best of ``found`` and ``cells``, read in slabs from the highest possible score down."""
     cells = cells[np.argsort(-best[cells], kind="stable")]
-    found, scores = np.empty(0, np.int64), np.empty(0, np.int64)
     for start in range(0, len(cells), _SLAB):
         if len(scores) == k and scores[-1] > best[cells[start]]:
             break
         slab = cells[start : start + _SLAB]
         found = np.concatenate([found, ids[slab]])
-        scores = np.concatenate([scores, exact[slab] @ query])
+        scores = np.concatenate([scores, exact[slab].astype(np.int64) @ query])
         order = np.lexsort((found, -scores))[:k]
         found, scores = found[order], scores[order]
     return found, scores

@@ -109,6 +109,42 @@ def test_vectors(spark, chunk_rows):
     assert va_file.top_k(df.where("false")).collect() == []
 
 
+@pytest.mark.parametrize("pass_bytes", [None, 20_000])
+def test_no_pair_of_chunk_and_query_is_broadcast(spark, monkeypatch, pass_bytes):
+    rng = random.Random(6)
+    rows = [(50 * i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(300)]
+    rows += [rows[3], (rows[4][0], rows[5][1]), (7, rows[6][1]), (100, [0.5] * 3), (8, [1.0] * 3), (150, [])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    sent, broadcast = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value) or broadcast(value))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "100k")  # any broadcast join takes more
+    try:
+        more = {"pass_bytes": pass_bytes} if pass_bytes else {}
+        got = sorted(map(tuple, va_file.top_k(df, chunk_rows=7, block_queries=3, **more).collect()))
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    nearest = {}  # the vectors of one id are one query
+    for query, _, vec_id, score in brute_top(rows):
+        nearest.setdefault(query, []).append((-score, vec_id))
+    assert got == [(q, n, i, -s) for q in nearest for n, (s, i) in enumerate(sorted(nearest[q])[:5], 1)]
+    queries = [x for x in sent if all(isinstance(y, tuple) for y in x)]
+    assert len(queries) == (3 if pass_bytes else 1)
+    assert all(sum(len(ids) + len(exact) for _, ids, exact in x) < 10_000 for x in queries)
+
+
+def test_scores_that_wrap(spark):
+    rng = random.Random(7)
+    rows = [(i * 10, [rng.uniform(-1e15, 1e15) for _ in range(4)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    wrapped = lambda x: (x + (1 << 63)) % (1 << 64) - (1 << 63)
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    expected = []
+    for q, vec in whole[::5]:
+        scored = sorted((-wrapped(sum(a * b for a, b in zip(vec, v))), i) for i, v in whole if i != q)
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, va_file.top_k(df, chunk_rows=7, block_queries=3).collect())) == expected
+
+
 def test_bounds_let_the_search_stop(monkeypatch):
     import numpy as np
 
