@@ -204,6 +204,7 @@ _PACKED_ARROW = pa.schema(
 _NONE = np.iinfo(np.int64).min + 1
 _MOST = np.iinfo(np.int64).max
 _SLAB = 64
+_SLAB_VALUES = 1 << 20
 
 
 class Block:
@@ -248,7 +249,9 @@ def _reach(products: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndar
     if products.dtype.kind == "f":  # least in their type: all of them are within the bounds
         most = _EXACT_BELOW[products.dtype.type]
         least = np.clip(least, -most, most).astype(products.dtype)
-    return np.nonzero(products >= least[:, None])
+    some = np.flatnonzero(products.max(1) >= least)  # far cheaper than to look at each of them
+    rows, columns = np.divmod(np.flatnonzero(products[some] >= least[some, None]), products.shape[1])
+    return some[rows], columns
 
 
 def _bounds(queries: np.ndarray, corners: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -285,12 +288,14 @@ def _raise(top: np.ndarray, block: Block, ids: np.ndarray, corner: np.ndarray, l
     """Put the lower bounds ``corner + less`` of a chunk that are among a query's best into its row of ``top``."""
     least = np.where(top[:, -1] > _NONE, top[:, -1] - less + 1, _MOST)
     short = np.flatnonzero(top[:, -1] == _NONE)
-    if len(short):  # every row but the query's own may enter, k of them at most
-        some = corner[short]
-        some[block.ids[short][:, None] == ids[None, :]] = _lowest(some.dtype)
-        columns = np.argpartition(some, -min(k := top.shape[1], len(ids)), axis=1)[:, -k:]
-        rows, columns = np.repeat(short, columns.shape[1]), columns.ravel()
-        _merge(top, *_others(block, ids, rows, columns), corner, less)
+    if len(short):
+        k, some = top.shape[1], corner[short]
+        lowest = some[block.ids[short][:, None] == ids[None, :]] = _lowest(some.dtype)
+        # k runs of columns have such a maximum, so k columns are as large.
+        maxima = np.maximum.reduceat(some, np.arange(0, len(ids), max(1, len(ids) // (16 * k))), axis=1)
+        enough = np.partition(maxima, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(short), lowest)
+        rows, columns = _reach(some, enough)
+        _merge(top, *_others(block, ids, short[rows], columns), corner, less)
     _merge(top, *_others(block, ids, *_reach(corner, least)), corner, less)
 
 
@@ -320,42 +325,84 @@ def _exact_scores(asked: Broadcast, bounds: Broadcast, grid: Grid, k: int):
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _blocks(asked, grid)
-        needed = [x.copy() for x in bounds.value]
-        results: list[dict] = [{} for _ in blocks]
+        nearest = [Nearest(needed, k) for needed in bounds.value]
         for dims, ids, corners, exact in _chunks(batches, grid):
-            for block, kth, result in zip(blocks, needed, results):
+            for block, found in zip(blocks, nearest):
                 if block.dims == dims:
-                    _read(block, kth, result, ids, corners, exact, grid, k)
-        for block, result in zip(blocks, results):
-            counts = [len(found) for found, _ in result.values()]
-            if counts:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(block.ids[list(result)], counts)),
-                        pa.array(np.concatenate([found for found, _ in result.values()])),
-                        pa.array(np.concatenate([scores for _, scores in result.values()])),
-                    ],
-                    names=["query_id", "vec_id", "score"],
-                )
+                    _read(block, found, ids, corners, exact, grid)
+        for block, found in zip(blocks, nearest):
+            held = found.filled()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(block.ids, found.counts)),
+                    pa.array(found.ids[held]),
+                    pa.array(found.scores[held]),
+                ],
+                names=["query_id", "vec_id", "score"],
+            )
 
     return scan
 
 
-def _read(block, kth, result, ids, corners, exact, grid, k):
-    """Search a chunk for a block: ``kth`` is what a row must reach, ``result`` the best so far by query."""
-    if grid.bounded(block.dims):
+class Nearest:
+    """The k best rows of each query of a block so far, highest score first, equal ones by ascending id."""
+
+    def __init__(self, needed: np.ndarray, k: int):
+        self.needed = needed.copy()  # what a row must reach
+        self.ids, self.scores = np.zeros((2, len(needed), k), np.int64)
+        self.counts = np.zeros(len(needed), np.int64)
+
+    def filled(self, rows=slice(None)) -> np.ndarray:
+        return np.arange(self.ids.shape[1]) < self.counts[rows, None]
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids[i, : self.counts[i]], self.scores[i, : self.counts[i]]
+
+    def put(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.counts[i] = n = len(ids)
+        self.ids[i, :n], self.scores[i, :n] = ids, scores
+        if n == self.ids.shape[1]:
+            self.needed[i] = max(self.needed[i], scores[-1])
+
+    def add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        k, touched = self.ids.shape[1], np.unique(rows)
+        held = self.filled(touched)
+        rows = np.concatenate([np.repeat(touched, self.counts[touched]), rows])
+        ids = np.concatenate([self.ids[touched][held], ids])
+        scores = np.concatenate([self.scores[touched][held], scores])
+        order = np.lexsort((ids, ~scores, rows))
+        rows = rows[order]
+        _, starts, counts = np.unique(rows, return_index=True, return_counts=True)
+        place = np.arange(len(rows)) - np.repeat(starts, counts)
+        best = place < k
+        self.ids[rows[best], place[best]] = ids[order][best]
+        self.scores[rows[best], place[best]] = scores[order][best]
+        self.counts[touched] = np.minimum(counts, k)
+        full = touched[counts >= k]
+        self.needed[full] = np.maximum(self.needed[full], self.scores[full, -1])
+
+
+def _read(block: Block, found: Nearest, ids: np.ndarray, corners: np.ndarray, exact: np.ndarray, grid: Grid) -> None:
+    """Search a chunk for a block. Queries with no more than a slab of open cells are scored together."""
+    bounded = grid.bounded(block.dims)
+    if bounded:
         corner, _, more = _bounds(block.queries, corners, grid.width)
-        rows, columns = _reach(corner, np.where(kth > _NONE, kth - more, _NONE))
+        rows, columns = _reach(corner, np.where(found.needed > _NONE, found.needed - more, _NONE))
     else:
         rows, columns = np.indices((len(block.ids), len(ids))).reshape(2, -1)
     rows, columns = _others(block, ids, rows, columns)
-    starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    for start, cells in zip(starts.tolist(), np.split(columns, starts[1:])):
-        i = int(rows[start])
-        best = corner[i].astype(np.int64) + more[i] if grid.bounded(block.dims) else np.full(len(ids), _MOST)
-        result[i] = _search(block.queries[i], exact, best, ids, cells, k, *result.get(i, ()))
-        if len(result[i][1]) == k:
-            kth[i] = max(kth[i], result[i][1][-1])
+    counts = np.bincount(rows, minlength=len(block.ids))
+    ends = np.cumsum(counts)
+    few = np.flatnonzero(counts[rows] <= _SLAB)
+    step = max(1, _SLAB_VALUES // max(1, block.dims))
+    for start in range(0, len(few), step):
+        some, cells = rows[few[start : start + step]], columns[few[start : start + step]]
+        found.add(some, ids[cells], (exact[cells].astype(np.int64) * block.queries[some]).sum(1))
+    for i in np.flatnonzero(counts > _SLAB).tolist():
+        cells = columns[ends[i] - counts[i] : ends[i]]
+        best = corner[i].astype(np.int64) + more[i] if bounded else np.full(len(ids), _MOST)
+        own = _search(block.queries[i], exact, best, ids, cells, found.ids.shape[1], *found.of(i))
+        found.put(i, *own)
 
 
 def _search(query, exact, best, ids, cells, k, found=np.empty(0, np.int64), scores=np.empty(0, np.int64)):
@@ -367,6 +414,6 @@ def _search(query, exact, best, ids, cells, k, found=np.empty(0, np.int64), scor
         slab = cells[start : start + _SLAB]
         found = np.concatenate([found, ids[slab]])
         scores = np.concatenate([scores, exact[slab].astype(np.int64) @ query])
-        order = np.lexsort((found, -scores))[:k]
+        order = np.lexsort((found, ~scores))[:k]
         found, scores = found[order], scores[order]
     return found, scores
